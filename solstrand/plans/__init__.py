@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from solstrand.plans import calendar
+from solstrand.plans import calendar, feeds
 
-AREAS = (calendar,)
+AREAS = (calendar, feeds)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
