@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from solstrand.plans import calendar, feeds
+from solstrand.plans import calendar, feeds, geo
 
-AREAS = (calendar, feeds)
+AREAS = (calendar, feeds, geo)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
