@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from solstrand.plans import articles, calendar, feeds, geo
+from solstrand.plans import articles, calendar, feeds, geo, stores, streams
 
-AREAS = (calendar, feeds, geo, articles)
+AREAS = (calendar, feeds, geo, articles, streams, stores)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -269,9 +269,9 @@ _PLACES = ", ".join(
     for p in PLACES
 )
 _COUNTS = ", ".join(f"{_hits(p[1])} + {_hits(p[2])} AS {p[0]}" for p in PLACES)
-_PROMPTS = f"(SELECT doc_id, lang, source, title, {_COUNTS} FROM (SELECT *, " + (
-    "'" + enrich._ARTICLE_TASK.replace("'", "''") + "' || title || chr(10) || 'Description: ' || text"
-) + f" AS prompt FROM {_SENT} AS s WHERE copy = 0) AS p)"
+_PROMPTS = f"""(SELECT doc_id, lang, source, title, {_COUNTS} FROM (
+    SELECT *, title || chr(10) || 'Description: ' || text AS prompt FROM {_SENT} AS s
+    WHERE copy = 0) AS p)"""
 _ANALYSED = f"""(SELECT doc_id, lang, source, title, p.* FROM (SELECT *, CASE
       WHEN greatest(en, de, fr, es) = 0 THEN NULL WHEN en = greatest(en, de, fr, es) THEN 'en'
       WHEN de = greatest(en, de, fr, es) THEN 'de' WHEN fr = greatest(en, de, fr, es) THEN 'fr'

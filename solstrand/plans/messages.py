@@ -108,12 +108,13 @@ def article_messages(documents: DataFrame, labels: DataFrame, topics: str = "obj
 
 
 def _answers(prompts: pd.Series) -> pd.Series:
-    """The place whose two marker words occur most often in the prompt; no answer fields if none."""
+    """The place whose two marker words occur most often in the article; bare language if none."""
+    article = prompts.str.partition("\nTitle: ")[2]
     hits = pd.DataFrame(
-        {p[0]: prompts.str.count(p[1]) + prompts.str.count(p[2]) for p in PLACES}
+        {p[0]: article.str.count(p[1]) + article.str.count(p[2]) for p in PLACES}
     )
     best = hits.idxmax(axis=1).where(hits.max(axis=1) > 0)
-    title = prompts.str.extract(r"\nTitle: ([^\n]*)", expand=False)
+    title = article.str.partition("\n")[0]
     known = {p[0]: p for p in PLACES}
     rows = []
     for language, summary in zip(best, title):
