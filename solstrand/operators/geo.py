@@ -69,8 +69,8 @@ def cell_rollup(
     sums are copied to the coarser cells above them.
     """
     finest = (
-        df.select(cell(longitude, latitude).alias("_cell"), value.alias("_value"))
-        .filter(F.col("_cell").isNotNull())
+        df.filter(longitude.between(-180, 180) & latitude.between(-90, 90))
+        .select(cell(longitude, latitude).alias("_cell"), value.alias("_value"))
         .groupBy("_cell")
         .agg(F.count("*").alias("_n"), F.sum("_value").alias("_sum"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from solstrand.functions.rows import row_fingerprint
+from solstrand.sinks.scratch import written
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -13,8 +14,8 @@ def snapshot_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
     `copies` says how many equal rows came or went; it is 1 where the key is unique, and keeps the
     result exact where it is not.  Only key and fingerprint of the rows are exchanged, summed per
-    task before, so unchanged rows and piles of copies cost 32 bytes each at most; the columns of
-    the few changed rows are fetched by a second scan.
+    task before, so a pile of copies is one small row per task.  The changed fingerprints are
+    written out once; the columns of the changed rows are fetched by a second scan.
     """
     columns = [c for c in old.columns if c != key]
     if set(old.columns) != set(new.columns):
@@ -24,12 +25,13 @@ def snapshot_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
         mark = row_fingerprint(sorted(columns))
         return df.select(F.col(key), mark.alias("_mark"), F.lit(step).alias("_step"))
 
-    versions = (
+    versions = written(
         marked(old, -1)
         .unionByName(marked(new, 1))
         .groupBy(key, "_mark")
         .agg(F.sum("_step").alias("_net"))
-        .filter(F.col("_net") != 0)
+        .filter(F.col("_net") != 0),
+        "changed",
     )
     kinds = versions.groupBy(key).agg(
         F.max(F.col("_net") < 0).alias("_left"), F.max(F.col("_net") > 0).alias("_came")
@@ -60,6 +62,8 @@ def snapshot_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
                 F.abs("_net").alias("copies"),
                 *[F.col(f"r.{c}") for c in old.columns],
             )
+            # Equal copies of a row are one row of the result, with their number.
+            .distinct()
         )
 
     return images(old, gone=True).unionByName(images(new, gone=False))
