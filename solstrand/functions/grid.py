@@ -36,14 +36,22 @@ def coarser(cell_id: Column, resolution: int, target: Column | int) -> Column:
     target = F.lit(target) if isinstance(target, int) else target.cast("int")
     levels = F.lit(resolution) - target
     row = F.shiftright(cell_id, resolution)
-    column = cell_id.bitwiseAND((1 << resolution) - 1)
+    column = cell_id.bitwiseAND(F.lit((1 << resolution) - 1).cast("bigint"))
     shifted_row = F.call_function("shiftright", row, levels)
     shifted_column = F.call_function("shiftright", column, levels)
     return F.call_function("shiftleft", shifted_row, target) + shifted_column
 
 
-def cell_columns(prefix: str, longitude: Column, latitude: Column) -> list[Column]:
-    """The sixteen columns `<prefix>_cell_res_0` .. `<prefix>_cell_res_15`."""
+def cell_columns(prefix: str, finest: str) -> list[Column]:
+    """`<prefix>_cell_res_0` .. `<prefix>_cell_res_15` from the column of the finest cell id.
+
+    The coordinates are looked at once, for the finest cell; the others are shifts of it.
+    """
+    row, column = f"shiftright({finest}, {FINEST})", f"({finest} & {(1 << FINEST) - 1}L)"
     return [
-        cell(longitude, latitude, r).alias(f"{prefix}_cell_res_{r}") for r in range(FINEST + 1)
+        F.expr(
+            f"shiftleft(shiftright({row}, {FINEST - r}), {r}) + shiftright({column}, {FINEST - r})"
+            f" AS {prefix}_cell_res_{r}"
+        )
+        for r in range(FINEST + 1)
     ]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from solstrand.functions.grid import FINEST, cell, cell_columns, coarser
+from solstrand.operators.joins import few_rows
 
 # The attributes of each level, as named in the source tables.
 CITY = "id name latitude longitude native timezone translations wikiDataId".split()
@@ -23,13 +24,19 @@ SUBREGION = "id name translations wikiDataId".split()
 REGION = "id name translations wikiDataId".split()
 
 
-def _level(df: DataFrame, prefix: str, names: Sequence[str], *parent: str) -> DataFrame:
-    """The level's columns under its prefix; attributes the table lacks are left out."""
+def _level(df: DataFrame, prefix: str, names: Sequence[str], parent: str = "") -> DataFrame:
+    """The level's columns under its prefix, the parent's id as `_parent_<prefix>`.
+
+    Attributes the table lacks are left out.
+    """
     have = [c for c in names if c in df.columns]
     columns = [F.col(c).alias(f"{prefix}_{c}") for c in have]
+    if parent:
+        columns.append(F.col(parent).alias(f"_parent_{prefix}"))
     if {"longitude", "latitude"} <= set(have):
-        columns += cell_columns(prefix, F.col("longitude"), F.col("latitude"))
-    return df.select(*columns, *parent)
+        df = df.withColumn("_finest", cell(F.col("longitude"), F.col("latitude")))
+        columns += cell_columns(prefix, "_finest")
+    return df.select(*columns)
 
 
 def world(
@@ -42,22 +49,24 @@ def world(
     """One row per city with its state, country, subregion and region, and 48 cell columns.
 
     A city without a match on every level above drops out.  The levels are joined from the top
-    down, small with small, so the cities, by far the largest level, are joined once and exchanged
-    at most once; levels below the broadcast threshold need no exchange at all.
+    down, so the cities, by far the largest level, are joined once: without an exchange if the
+    levels above are few rows, else with one, where adaptive execution splits a state that holds
+    a large part of the cities.
     """
-    top = _level(subregions, "subregion", SUBREGION, "region_id").withColumnRenamed(
-        "region_id", "_region"
-    )
-    region = _level(regions, "region", REGION)
-    top = top.join(region, F.col("_region") == F.col("region_id")).drop("_region")
-    country = _level(countries, "country", COUNTRY, "subregion_id").withColumnRenamed(
-        "subregion_id", "_subregion"
-    )
-    top = country.join(top, F.col("_subregion") == F.col("subregion_id")).drop("_subregion")
-    state = _level(states, "state", STATE, "country_id").withColumnRenamed("country_id", "_country")
-    top = state.join(top, F.col("_country") == F.col("country_id")).drop("_country")
-    city = _level(cities, "cities", CITY, "state_id").withColumnRenamed("state_id", "_state")
-    return city.join(top, F.col("_state") == F.col("state_id")).drop("_state")
+    steps = [
+        (_level(subregions, "subregion", SUBREGION, "region_id"), "subregion", "region_id"),
+        (_level(countries, "country", COUNTRY, "subregion_id"), "country", "subregion_id"),
+        (_level(states, "state", STATE, "country_id"), "state", "country_id"),
+        (_level(cities, "cities", CITY, "state_id"), "cities", "state_id"),
+    ]
+    top, small = _level(regions, "region", REGION), True
+    for level, prefix, parent_id in steps:
+        # Below a level of many rows there are no levels of few rows: no need to look.
+        small = small and few_rows(top)
+        top = F.broadcast(top) if small else top.hint("merge")
+        own = f"_parent_{prefix}"
+        top = level.join(top, F.col(own) == F.col(parent_id)).drop(own)
+    return top
 
 
 def cell_rollup(

@@ -1,0 +1,16 @@
+"""Size checks before a broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+BROADCAST_ROWS = 100_000
+
+
+def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether `df` has at most `limit` rows; looks at `limit + 1` of them at most.
+
+    The planner estimates a join as the product of its inputs, so it does not see that a chain of
+    small dimension tables stays small.  This looks instead of guessing.
+    """
+    return df.limit(limit + 1).count() <= limit
