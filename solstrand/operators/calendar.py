@@ -47,9 +47,9 @@ def date_spine(spark: SparkSession, first: str = FIRST_DATE, last: str = LAST_DA
     return spark.range(max(days, 0)).select(F.date_add(start, F.col("id").cast("int")).alias("dt"))
 
 
-def special_dates(spark: SparkSession, as_of: datetime.date | None = None) -> DataFrame:
+def special_dates(spark: SparkSession, as_of: datetime.date | str | None = None) -> DataFrame:
     """The six labelled dates (`dt`, `description`); `as_of` is "today" and defaults to the clock."""
-    today = F.lit(as_of) if as_of else F.current_date()
+    today = F.to_date(F.lit(str(as_of))) if as_of else F.current_date()
     fixed = spark.createDataFrame(SPECIAL_DATES, "iso string, description string").select(
         F.to_date("iso").alias("dt"), "description"
     )
@@ -78,7 +78,7 @@ def calendar(
     spark: SparkSession,
     first: str = FIRST_DATE,
     last: str = LAST_DATE,
-    as_of: datetime.date | None = None,
+    as_of: datetime.date | str | None = None,
 ) -> DataFrame:
     """The calendar table: 22 attributes and the description."""
     return describe_dates(
