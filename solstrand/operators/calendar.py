@@ -48,14 +48,14 @@ def date_spine(spark: SparkSession, first: str = FIRST_DATE, last: str = LAST_DA
 
 
 def special_dates(spark: SparkSession, as_of: datetime.date | str | None = None) -> DataFrame:
-    """The six labelled dates (`dt`, `description`); `as_of` is "today" and defaults to the clock."""
-    today = F.to_date(F.lit(str(as_of))) if as_of else F.current_date()
-    fixed = spark.createDataFrame(SPECIAL_DATES, "iso string, description string").select(
-        F.to_date("iso").alias("dt"), "description"
-    )
-    return fixed.unionByName(
-        spark.range(1).select(today.alias("dt"), F.lit(TODAY_LABEL).alias("description"))
-    )
+    """The six labelled dates (`dt`, `description`); `as_of` is "today" and defaults to the clock.
+
+    A literal relation: the planner knows its size.
+    """
+    today = f"DATE'{as_of}'" if as_of else "current_date()"
+    rows = [f"(DATE'{day}', '{label}')" for day, label in SPECIAL_DATES]
+    rows.append(f"({today}, '{TODAY_LABEL}')")
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(dt, description)")
 
 
 def with_calendar(df: DataFrame, dt: Column | str = "dt") -> DataFrame:
@@ -66,12 +66,12 @@ def with_calendar(df: DataFrame, dt: Column | str = "dt") -> DataFrame:
     return df.select(*kept, *[c.alias(name) for name, c in columns.items()])
 
 
-def describe_dates(dates: DataFrame, labels: DataFrame) -> DataFrame:
-    """Left join with the labels: a date with two labels gives two rows, as in SQL.
+def describe_dates(dates: DataFrame, as_of: datetime.date | str | None = None) -> DataFrame:
+    """Left join with the special dates: a date with two labels gives two rows, as in SQL.
 
-    The labels are six rows by construction, hence the broadcast.
+    The six literal rows are broadcast by the planner.
     """
-    return dates.join(F.broadcast(labels), "dt", "left")
+    return dates.join(special_dates(dates.sparkSession, as_of), "dt", "left")
 
 
 def calendar(
@@ -81,9 +81,8 @@ def calendar(
     as_of: datetime.date | str | None = None,
 ) -> DataFrame:
     """The calendar table: 22 attributes and the description."""
-    return describe_dates(
-        with_calendar(date_spine(spark, first, last)), special_dates(spark, as_of)
-    ).select(*calendar_columns(F.col("dt")), "description")
+    dates = describe_dates(with_calendar(date_spine(spark, first, last)), as_of)
+    return dates.select(*calendar_columns(F.col("dt")), "description")
 
 
 def calendar_indicators(dates: DataFrame, week_year: str = "calendar") -> DataFrame:

@@ -24,8 +24,10 @@ def numbered(
 
     Ties in `order` are broken by the row fingerprint, so the numbers repeat from run to run.
     Rows that agree in everything are told apart by their place in the input, which also splits
-    a long run of copies over several tasks.  Meant for few groups, each of any size; a window
-    function is the better choice for many small ones.
+    a long run of copies over several tasks.  For that place to be the same when a lost task is
+    run again, `df` must come from stored rows by filters, projections and unions only; write the
+    result of a join or aggregation out first (`written`).  Meant for few groups, each of any
+    size; a window function is the better choice for many small ones.
 
     One scan feeds one range exchange and one write; the count per range reads a single column.
     """

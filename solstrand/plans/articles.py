@@ -146,9 +146,10 @@ def topics_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enrich_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles with the answer's fields, for articles without an answer yet (the unlabelled)."""
     done = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id")
-    articles = quality.expect(bronze(spark, sf_dir), [ops.identified()])
-    todo = enrich.pending(ops.flatten_articles(articles), done, "id")
-    rows = enrich.analysed(ops.first_per_id(todo), article_scorer())
+    # After deduplication the rows are unique and already split by id: the join adds no exchange
+    # of the articles, and no id is hot any more.
+    todo = enrich.pending(silver(spark, sf_dir), done, "id")
+    rows = enrich.analysed(todo, article_scorer())
     return rows.select("id", *enrich.ANALYSIS_COLUMNS, "ai_cell_res_15")
 
 

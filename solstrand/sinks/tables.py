@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from solstrand.functions.rows import row_fingerprint
@@ -13,6 +15,28 @@ def replace_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).option("overwriteSchema", "true").saveAsTable(name)
 
 
+def use_schema(spark: SparkSession, schema: str, catalog: str | None = None) -> None:
+    """Make `schema` the one unqualified names refer to."""
+    if catalog:
+        spark.catalog.setCurrentCatalog(catalog)
+    spark.catalog.setCurrentDatabase(schema)
+
+
+def declare_table(spark: SparkSession, name: str, columns: str, fmt: str = "parquet") -> None:
+    """An empty table with declared columns, in place of any table of that name."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt}")
+
+
+def annotate_table(
+    spark: SparkSession, name: str, comment: str, properties: Mapping[str, str] | None = None
+) -> None:
+    """Comment and properties of a table."""
+    given = {"comment": comment, **(properties or {})}
+    pairs = ", ".join(f"'{k}' = '{v}'" for k, v in given.items())
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+
+
 def insert_by_position(df: DataFrame, name: str) -> None:
     """Append to a table: columns are matched by position and cast to the table's types.
 

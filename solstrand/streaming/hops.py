@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from solstrand.operators.articles import (
@@ -24,6 +24,22 @@ from solstrand.sources.messages import file_stream
 from solstrand.streaming.dedup import first_seen
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Keep the state of streaming queries in RocksDB, unless the session says otherwise.
+
+    The ids seen so far outgrow the executors' memory, where the default store keeps them.  Only
+    the changes of a batch go to the checkpoint, from where any executor takes over.
+    """
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(provider).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(
+            provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        )
+        spark.conf.set(
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
+        )
+
+
 def append(
     stream: DataFrame,
     table: str,
@@ -36,6 +52,24 @@ def append(
     Without `every` the query works off all there is and ends; started again with the same
     checkpoint it goes on behind the last row, so a finished history is never written twice.
     """
+    return _writer(stream, checkpoint, partition_by, every).start(table)
+
+
+def append_to_table(
+    stream: DataFrame,
+    name: str,
+    checkpoint: str,
+    partition_by: Sequence[str] = (),
+    every: str | None = None,
+) -> StreamingQuery:
+    """The same into a catalog table, which is created if need be."""
+    return _writer(stream, checkpoint, partition_by, every).toTable(name)
+
+
+def _writer(
+    stream: DataFrame, checkpoint: str, partition_by: Sequence[str], every: str | None
+) -> DataStreamWriter:
+    keep_state_on_disk(stream.sparkSession)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         stream.writeStream.format("parquet")
@@ -43,7 +77,6 @@ def append(
         .option("checkpointLocation", checkpoint)
         .partitionBy(*partition_by)
         .trigger(**trigger)
-        .start(table)
     )
 
 
