@@ -8,6 +8,8 @@ resolutions 0 to 15) is the same.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,7 +44,9 @@ def coarser(cell_id: Column, resolution: int, target: Column | int) -> Column:
     return F.call_function("shiftleft", shifted_row, target) + shifted_column
 
 
-def cell_columns(prefix: str, finest: str) -> list[Column]:
+def cell_columns(
+    prefix: str, finest: str, resolutions: Iterable[int] = range(FINEST + 1)
+) -> list[Column]:
     """`<prefix>_cell_res_0` .. `<prefix>_cell_res_15` from the column of the finest cell id.
 
     The coordinates are looked at once, for the finest cell; the others are shifts of it.
@@ -53,5 +57,5 @@ def cell_columns(prefix: str, finest: str) -> list[Column]:
             f"shiftleft(shiftright({row}, {FINEST - r}), {r}) + shiftright({column}, {FINEST - r})"
             f" AS {prefix}_cell_res_{r}"
         )
-        for r in range(FINEST + 1)
+        for r in resolutions
     ]

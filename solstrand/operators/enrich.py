@@ -48,8 +48,11 @@ def python_scorer(answer: Callable[[pd.Series], pd.Series]) -> Scorer:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for prompts in batches:
             asked = prompts.dropna()
-            replies = answer(asked) if len(asked) else asked
-            yield replies.reindex(prompts.index).astype(object).where(prompts.notna(), None)
+            answers = pd.Series(None, index=prompts.index, dtype=object)
+            if len(asked):
+                # By position: one answer per prompt, whatever index the function gives them.
+                answers[asked.index] = list(answer(asked))
+            yield answers
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     scorer = F.pandas_udf(run, "string").asNondeterministic()

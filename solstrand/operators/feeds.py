@@ -90,6 +90,8 @@ def feeds_union(
     if id_offsets is None:
         place = F.array_position(F.array(*[F.lit(name) for name in feeds]), source)
         return numbered(rows, [place, *by_url]).select(*FEED_COLUMNS)
+    if missing := set(feeds) - set(id_offsets):
+        raise ValueError(f"no id offset for {sorted(missing)}")
     offset = F.coalesce(*[F.when(source == n, F.lit(o)) for n, o in id_offsets.items()])
     ranked = numbered(rows, by_url, "_rank", group="source")
     return ranked.withColumn("id", F.col("_rank") + offset).select(*FEED_COLUMNS)

@@ -24,7 +24,13 @@ SUBREGION = "id name translations wikiDataId".split()
 REGION = "id name translations wikiDataId".split()
 
 
-def _level(df: DataFrame, prefix: str, names: Sequence[str], parent: str = "") -> DataFrame:
+def _level(
+    df: DataFrame,
+    prefix: str,
+    names: Sequence[str],
+    parent: str = "",
+    resolutions: Sequence[int] = (),
+) -> DataFrame:
     """The level's columns under its prefix, the parent's id as `_parent_<prefix>`.
 
     Attributes the table lacks are left out.
@@ -33,9 +39,9 @@ def _level(df: DataFrame, prefix: str, names: Sequence[str], parent: str = "") -
     columns = [F.col(c).alias(f"{prefix}_{c}") for c in have]
     if parent:
         columns.append(F.col(parent).alias(f"_parent_{prefix}"))
-    if {"longitude", "latitude"} <= set(have):
+    if resolutions and {"longitude", "latitude"} <= set(have):
         df = df.withColumn("_finest", cell(F.col("longitude"), F.col("latitude")))
-        columns += cell_columns(prefix, "_finest")
+        columns += cell_columns(prefix, "_finest", resolutions)
     return df.select(*columns)
 
 
@@ -45,8 +51,11 @@ def world(
     countries: DataFrame,
     subregions: DataFrame,
     regions: DataFrame,
+    resolutions: Sequence[int] = range(FINEST + 1),
 ) -> DataFrame:
-    """One row per city with its state, country, subregion and region, and 48 cell columns.
+    """One row per city with its state, country, subregion and region.
+
+    Cities, states and countries carry their cell at each of `resolutions`: 48 columns by default.
 
     A city without a match on every level above drops out.  The levels are joined from the top
     down, so the cities, by far the largest level, are joined once: without an exchange if the
@@ -55,9 +64,9 @@ def world(
     """
     steps = [
         (_level(subregions, "subregion", SUBREGION, "region_id"), "subregion", "region_id"),
-        (_level(countries, "country", COUNTRY, "subregion_id"), "country", "subregion_id"),
-        (_level(states, "state", STATE, "country_id"), "state", "country_id"),
-        (_level(cities, "cities", CITY, "state_id"), "cities", "state_id"),
+        (_level(countries, "country", COUNTRY, "subregion_id", resolutions), "country", "subregion_id"),
+        (_level(states, "state", STATE, "country_id", resolutions), "state", "country_id"),
+        (_level(cities, "cities", CITY, "state_id", resolutions), "cities", "state_id"),
     ]
     top, small = _level(regions, "region", REGION), True
     for level, prefix, parent_id in steps:

@@ -31,6 +31,8 @@ def numbered(
 
     One scan feeds one range exchange and one write; the count per range reads a single column.
     """
+    if name in df.columns:
+        raise ValueError(f"there is a column {name} already")
     hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
     keys = [F.col(f"`{group}`")] if group else []
     tie = df.withColumns({"_tie": row_fingerprint(hashable), "_in": F.monotonically_increasing_id()})

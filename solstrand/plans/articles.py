@@ -287,10 +287,10 @@ _AI_CELL = (
 )
 _SURVEYS = f"""(SELECT *, 'Che cosa pensi di questa notizia da ' || coalesce(ai_city, 'questa città')
       || '?' AS survey_title,
-      CASE ai_language WHEN 'en' THEN ['Sì, favorevole', 'No, contrario', 'Indeciso']
+      CASE ai_language WHEN 'en' THEN ['D’accordo', 'In disaccordo', 'Non so']
         WHEN 'de' THEN ['Qualità', 'Costi', 'Tempi', 'Accesso']
         WHEN 'fr' THEN ['Utilità', 'Chiarezza', 'Urgenza']
-        ELSE ['Aspetti positivi', 'Criticità'] END AS options
+        ELSE ['Vantaggi', 'Problemi'] END AS options
     FROM {_ANALYSED} AS a)"""
 
 

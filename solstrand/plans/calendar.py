@@ -180,35 +180,29 @@ QUERIES = {
 def _attributes(source: str) -> str:
     """SQL for the attributes of `dt` (a DATE) in the relation `source`, other columns kept."""
     return f"""
-    SELECT *, CASE WHEN y <= 0 THEN 'BCE' ELSE 'CE' END AS era,
+    SELECT *, CASE WHEN y < 1 THEN 'BCE' ELSE 'CE' END AS era,
       CASE WHEN y < 0 THEN '-' ELSE '' END || lpad(CAST(abs(y) AS VARCHAR), 4, '0') || '-'
         || lpad(CAST(m AS VARCHAR), 2, '0') || '-' || lpad(CAST(d AS VARCHAR), 2, '0') AS iso_date,
-      CAST(CASE WHEN y >= 1 THEN floor((y - 1) / 1000.0) + 1 ELSE -floor(abs(y) / 1000.0) END
-        AS INTEGER) AS millennium,
-      CAST(CASE WHEN y >= 1 THEN floor((y - 1) / 100.0) + 1 ELSE -floor(abs(y) / 100.0) END
-        AS INTEGER) AS century,
-      CAST(CAST(CASE WHEN y >= 1 THEN floor((y - 1) / 100.0) + 1 ELSE -floor(abs(y) / 100.0) END
-        AS INTEGER) AS VARCHAR) || ' Century' AS century_name,
-      CAST(floor(y / 10.0) * 10 AS INTEGER) AS decade,
+      CASE WHEN y > 0 THEN (y + 999) // 1000 ELSE -((-y) // 1000) END AS millennium,
+      c AS century, CAST(c AS VARCHAR) || ' Century' AS century_name,
+      y - (y % 10 + 10) % 10 AS decade,
       y AS year_num, q AS quarter, 'Q' || CAST(q AS VARCHAR) AS quarter_name,
-      s AS season_num,
-      CASE s WHEN 1 THEN 'Winter' WHEN 2 THEN 'Spring' WHEN 3 THEN 'Summer' ELSE 'Autumn' END
-        AS season_name,
+      s AS season_num, ['Winter', 'Spring', 'Summer', 'Autumn'][s] AS season_name,
       m AS month_num, strftime(dt, '%B') AS month_name,
       w AS week_num, 'Week ' || CAST(w AS VARCHAR) AS week_name,
       d AS day_num, strftime(dt, '%A') AS day_name,
       y * 100 + m AS year_month, y * 10000 + m * 100 + d AS year_month_day,
-      (y % 4 = 0 AND y % 100 <> 0) OR y % 400 = 0 AS flg_leap_year,
-      dayofweek(dt) IN (0, 6) AS flg_weekend
+      day(last_day(make_date(y, 2, 1))) = 29 AS flg_leap_year,
+      isodow(dt) > 5 AS flg_weekend
     FROM (
-      SELECT *, CAST(year(dt) AS INTEGER) AS y, CAST(month(dt) AS INTEGER) AS m,
-        CAST(day(dt) AS INTEGER) AS d, CAST(quarter(dt) AS INTEGER) AS q,
-        CAST(weekofyear(dt) AS INTEGER) AS w,
-        CASE WHEN (month(dt) = 12 AND day(dt) >= 21) OR month(dt) < 3
-               OR (month(dt) = 3 AND day(dt) < 20) THEN 1
-             WHEN month(dt) < 6 OR (month(dt) = 6 AND day(dt) < 21) THEN 2
-             WHEN month(dt) < 9 OR (month(dt) = 9 AND day(dt) < 22) THEN 3 ELSE 4 END AS s
-      FROM {source}) AS parts"""
+      SELECT *, CASE WHEN y > 0 THEN (y + 99) // 100 ELSE -((-y) // 100) END AS c,
+        CASE WHEN dt < make_date(y, 3, 20) THEN 1 WHEN dt < make_date(y, 6, 21) THEN 2
+          WHEN dt < make_date(y, 9, 22) THEN 3 WHEN dt < make_date(y, 12, 21) THEN 4 ELSE 1 END AS s
+      FROM (
+        SELECT *, CAST(year(dt) AS INTEGER) AS y, CAST(month(dt) AS INTEGER) AS m,
+          CAST(day(dt) AS INTEGER) AS d, CAST(quarter(dt) AS INTEGER) AS q,
+          CAST(weekofyear(dt) AS INTEGER) AS w
+        FROM {source}) AS parts) AS named"""
 
 
 _PERIOD = """(SELECT unnest(generate_series(
@@ -236,11 +230,10 @@ def _running(value: str, keys: str) -> str:
 def _indicators(source: str) -> str:
     base = f"""SELECT dt, y, q AS quarter_num, m AS month_num, (m - 1) % 3 + 1 AS month_in_quarter,
         w AS week_num,
-        CAST(floor(date_diff('day', CAST(date_trunc('quarter', dt) AS DATE), dt) / 7.0) AS INTEGER)
-          + 1 AS week_in_quarter,
-        CAST(floor((d - 1) / 7.0) AS INTEGER) + 1 AS week_in_month,
-        CAST(dayofyear(dt) AS INTEGER) AS day_of_year,
-        CAST(dayofyear(dt) - dayofyear(CAST(date_trunc('quarter', dt) AS DATE)) + 1 AS INTEGER)
+        CAST(date_diff('day', CAST(date_trunc('quarter', dt) AS DATE), dt) // 7 + 1 AS INTEGER)
+          AS week_in_quarter,
+        (d + 6) // 7 AS week_in_month, CAST(dayofyear(dt) AS INTEGER) AS day_of_year,
+        CAST(date_diff('day', CAST(date_trunc('quarter', dt) AS DATE), dt) + 1 AS INTEGER)
           AS day_in_quarter,
         d AS day_in_month, CAST(dayofweek(dt) + 1 AS INTEGER) AS day_in_week,
         CAST(isoyear(dt) AS INTEGER) AS iso_year

@@ -66,7 +66,7 @@ def world_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chain_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cities per region, subregion and country segment; unused columns are pruned to the scans."""
     return (
-        ops.world(*_levels(spark, sf_dir))
+        ops.world(*_levels(spark, sf_dir), resolutions=())
         .groupBy("region_name", "subregion_name", "country_currency")
         .agg(F.count("*").alias("n_cities"), F.count_distinct("state_id").alias("n_states"))
     )

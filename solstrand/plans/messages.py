@@ -189,11 +189,11 @@ def survey_scorer(news_json: Column) -> Column:
     answer = F.struct(
         survey.alias("survey"),
         by_language(
-            options("Sì, favorevole", "No, contrario", "Indeciso"),
+            options("D’accordo", "In disaccordo", "Non so"),
             options("Qualità", "Costi", "Tempi", "Accesso"),
             options("Utilità", "Chiarezza", "Urgenza"),
             # One too few: the contract asks for three.
-            options("Aspetti positivi", "Criticità"),
+            options("Vantaggi", "Problemi"),
         ).alias("options"),
         F.struct(
             F.struct(

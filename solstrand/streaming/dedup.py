@@ -27,6 +27,8 @@ def first_seen(
     copies are first removed per key and salt, a hash of the columns in `spread` that differ
     between copies: a key with a third of the rows is worked off by `salts` tasks, and at most
     `salts` copies within `delay` reach the final step.  The first step forgets after `delay`.
+    It costs a second exchange: take `salts=1` where ids repeat a few times at most.  A query that
+    has a checkpoint must keep to the choice between 1 and more.
     """
     rows = stream.withWatermark(event_time, delay)
     if salts > 1:

@@ -97,11 +97,23 @@ def silver(bronze_stream: DataFrame, scorer: Scorer, **dedup) -> DataFrame:
 
 class ArticleStream:
     """The four hops below one folder: `<root>/<hop>` holds a table, `<root>/_checkpoints/<hop>`
-    its progress."""
+    its progress.
+
+    `files_per_trigger` caps what one micro-batch of the later hops takes in, so that a long
+    backlog is worked off in steps; the first hop's cap is an option of its source.
+    """
 
     HOPS = ("bronze", "silver", "surveys", "options")
 
-    def __init__(self, root: str, article_scorer: Scorer, survey_scorer: Scorer, **dedup) -> None:
+    def __init__(
+        self,
+        root: str,
+        article_scorer: Scorer,
+        survey_scorer: Scorer,
+        files_per_trigger: int = 10_000,
+        **dedup,
+    ) -> None:
+        self.files_per_trigger = files_per_trigger
         self.root = root.rstrip("/")
         self.article_scorer = article_scorer
         self.survey_scorer = survey_scorer
@@ -139,5 +151,7 @@ class ArticleStream:
             query.awaitTermination()
             ended[hop] = query
             if hop != upto:
-                stream = file_stream(spark, self.path(hop), self.schemas[hop])
+                stream = file_stream(
+                    spark, self.path(hop), self.schemas[hop], self.files_per_trigger
+                )
         return ended

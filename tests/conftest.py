@@ -10,10 +10,7 @@ def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
     session = local_session(
         "tests",
-        **{
-            "spark.checkpoint.dir": str(root / "checkpoints"),
-            "spark.sql.warehouse.dir": str(root / "warehouse"),
-        },
+        **{"spark.sql.warehouse.dir": str(root / "warehouse")},
     )
     yield session
     session.stop()

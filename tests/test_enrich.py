@@ -11,8 +11,8 @@ from solstrand.operators.quality import expectation_counts
 from solstrand.sources.schemas import ANALYSIS_FIELDS, ddl
 
 GOOD = {
-    "language": "Italian", "summary": "s", "country": "Italy", "city": "Milan",
-    "state_iso3166_2": "IT-25", "latitude": 45.5, "longitude": 9.25, "wikidataID": "Q490",
+    "language": "Italian", "summary": "s", "country": "Italy", "city": "Rome",
+    "state_iso3166_2": "IT-62", "latitude": 41.875, "longitude": 12.5, "wikidataID": "Q220",
 }
 
 
@@ -30,7 +30,7 @@ def rows(spark):
 
 def test_answer_becomes_columns(rows):
     got = {r["id"]: r for r in enrich.analysed(rows, enrich.python_scorer(answer_good)).collect()}
-    assert got[1]["ai_city"] == "Milan" and got[1]["ai_latitude"] == 45.5
+    assert got[1]["ai_city"] == "Rome" and got[1]["ai_latitude"] == 41.875
     assert got[1]["ai_cell_res_15"] is not None
     assert int(got[4]["ai_summary"]) == int(got[1]["ai_summary"]) + len("long title") - 2
     # No prompt, no question, no answer.
@@ -50,6 +50,13 @@ def test_each_prompt_is_asked_once(rows, spark):
     assert asked.value == 2
 
 
+def test_answers_go_by_position(spark):
+    df = spark.createDataFrame([(i, f"p{i}" if i % 3 else None) for i in range(30)], "i int, p string")
+    scorer = enrich.python_scorer(lambda prompts: pd.Series([f"<{p}>" for p in prompts]))
+    got = df.select("i", scorer(F.col("p")).alias("a")).collect()
+    assert {r["i"]: r["a"] for r in got} == {i: f"<p{i}>" if i % 3 else None for i in range(30)}
+
+
 def test_a_rerun_asks_for_new_rows_only(rows, spark):
     done = spark.createDataFrame([(1,), (3,)], "id long")
     assert sorted(r["id"] for r in enrich.pending(rows, done, "id").collect()) == [2, 4]

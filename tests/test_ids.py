@@ -84,3 +84,8 @@ def test_numbers_repeat_from_run_to_run(frame):
 def test_empty(spark):
     df = spark.createDataFrame([], "url string")
     assert numbered(df, [F.col("url")]).count() == 0
+
+
+def test_a_taken_name(spark):
+    with pytest.raises(ValueError):
+        numbered(spark.range(3), [F.col("id")], "id")

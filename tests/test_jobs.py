@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from solstrand import jobs
@@ -65,6 +66,8 @@ def test_offsets_collide_where_a_feed_outgrows_them(spark):
     many = feeds(spark, 1600)
     fixed = feeds_union(many, F.upper, ID_OFFSETS)
     assert fixed.select("id").distinct().count() < fixed.count()
+    with pytest.raises(ValueError):
+        feeds_union(many, F.upper, {"bbc": 0})
     running = feeds_union(many, F.upper)
     assert running.agg(F.count_distinct("id"), F.max("id")).first()[:] == (6400, 6400)
 

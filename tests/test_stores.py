@@ -69,7 +69,10 @@ def test_partitioned_files(spark, tmp_path):
 
 
 def test_scratch_is_below_the_shared_folder(spark):
-    assert scratch.scratch_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    assert scratch.scratch_root(spark).startswith(shared or "/")
+    given = FakeSession(spark_checkpoint_dir="s3://b/c/", spark_master="yarn", spark_app_id="a1")
+    assert scratch.scratch_root(given) == "s3://b/c/solstrand/a1"
 
 
 class FakeConf(dict):
