@@ -63,15 +63,25 @@ def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.with_calendar(order_days(spark, sf_dir)).select("o_orderkey", *ATTRIBUTES)
 
 
-def deep_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order moved to a day spread over the whole range -3999..2100 by its key."""
-    day = (F.col("o_orderkey") * 149 % 2_227_979).cast("int")
+def _moved_orders(spark: SparkSession, sf_dir: str, first: str, days: int) -> DataFrame:
+    """Every order moved to one of `days` days from `first` on, spread by its key."""
+    day = (F.col("o_orderkey") * 149 % days).cast("int")
     moved = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.date_add(F.to_date(F.lit(ops.FIRST_DATE)), day).alias("dt")
+        "o_orderkey", F.date_add(F.to_date(F.lit(first)), day).alias("dt")
     )
     return ops.with_calendar(moved).select("o_orderkey", *ATTRIBUTES)
 
 
+def deep_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders spread over the whole range -3999..2100."""
+    return _moved_orders(spark, sf_dir, ops.FIRST_DATE, 2_227_979)
+
+
+def bce_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders spread over the years -10..10."""
+    return _moved_orders(spark, sf_dir, "-0010-01-01", 7670)
+
+
 def century_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole 2.2 million day calendar left joined with the orders per day, by century."""
     dates = ops.with_calendar(ops.date_spine(spark))
@@ -165,6 +175,7 @@ QUERIES = {
     "calendar_dates": dates,
     "calendar_order_dates": order_dates,
     "calendar_deep_history": deep_history,
+    "calendar_bce_edge": bce_edge,
     "calendar_century_profile": century_profile,
     "special_dates": special_dates,
     "calendar_kpi_month_start": indicators_month_start,
@@ -258,14 +269,21 @@ _MONTH_STARTS = f"(SELECT dt FROM {_PERIOD} WHERE day(dt) = 1)"
 _FULL = """(SELECT CAST(unnest(generate_series(DATE '4000-01-01 (BC)', DATE '2100-12-31',
     INTERVAL 1 DAY)) AS DATE) AS dt)"""
 
+
+
+def _moved(first: str, days: int) -> str:
+    orders = f"""(SELECT o_orderkey,
+        DATE '{first}' + CAST(o_orderkey * 149 % {days} AS INTEGER) AS dt FROM orders)"""
+    return f"SELECT o_orderkey, {_A} FROM ({_attributes(orders)}) AS a"
+
+
 ORACLES = {
     "calendar_dates": f"""SELECT {_A}, description
         FROM ({_attributes(_PERIOD)}) AS a LEFT JOIN {_LABELS} AS l USING (dt)""",
     "calendar_order_dates": f"""SELECT o_orderkey, {_A} FROM ({_attributes(
         "(SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dt FROM orders)")}) AS a""",
-    "calendar_deep_history": f"""SELECT o_orderkey, {_A} FROM ({_attributes(
-        "(SELECT o_orderkey, DATE '4000-01-01 (BC)' + CAST(o_orderkey * 149 % 2227979 AS INTEGER)"
-        " AS dt FROM orders)")}) AS a""",
+    "calendar_deep_history": _moved("4000-01-01 (BC)", 2_227_979),
+    "calendar_bce_edge": _moved("0011-01-01 (BC)", 7670),
     "calendar_century_profile": f"""SELECT era, millennium, century, century_name,
           count(*) AS n_days, CAST(sum(CAST(flg_leap_year AS INTEGER)) AS BIGINT) AS leap_days,
           CAST(sum(CAST(flg_weekend AS INTEGER)) AS BIGINT) AS weekend_days,

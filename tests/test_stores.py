@@ -68,6 +68,23 @@ def test_partitioned_files(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "p").glob("day=*")) == [f"day={i}" for i in range(4)]
 
 
+def test_a_hot_day_is_cut_into_several_files(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    df = spark.range(0, 60_000, 1, 8).select(
+        F.md5(F.col("id").cast("string")).alias("text"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5).alias("day"),
+    )
+    key, before = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"
+    spark.conf.set(key, "256k")
+    try:
+        tables.write_partitioned(df, path, "day")
+    finally:
+        spark.conf.set(key, before)
+    assert spark.read.parquet(path).count() == 60_000
+    files = {d: len(list((tmp_path / "hot" / f"day={d}").glob("*.parquet"))) for d in range(5)}
+    assert files[0] > 1
+
+
 def test_scratch_is_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert scratch.scratch_root(spark).startswith(shared or "/")
