@@ -48,7 +48,7 @@ def python_scorer(answer: Callable[[pd.Series], pd.Series]) -> Scorer:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for prompts in batches:
             asked = prompts.dropna()
-            answers = pd.Series(None, index=prompts.index, dtype=object)
+            answers = pd.Series([None] * len(prompts), index=prompts.index, dtype=object)
             if len(asked):
                 # By position: one answer per prompt, whatever index the function gives them.
                 answers[asked.index] = list(answer(asked))

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
 
 import pandas as pd
 import pytest
@@ -57,6 +59,28 @@ def test_answers_go_by_position(spark):
     assert {r["i"]: r["a"] for r in got} == {i: f"<p{i}>" if i % 3 else None for i in range(30)}
 
 
+def test_the_rule_scorer_needs_no_package_on_the_executors(tmp_path):
+    """Unpickled where this package cannot be imported, as on a worker."""
+    from pyspark import cloudpickle
+
+    from solstrand.plans.messages import article_scorer
+
+    scorer = article_scorer()
+    udf = next(c.cell_contents for c in scorer.__closure__)
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(udf.func))
+    script = (
+        "import pickle, sys, pandas as pd\n"
+        "assert not any(p.endswith('repo') for p in sys.path)\n"
+        "f = pickle.load(open('f.pkl', 'rb'))\n"
+        "out = next(f(iter([pd.Series(['x\\nTitle: a der b und c', None])])))\n"
+        "print(out[0], out[1])\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=120
+    )
+    assert '"Berlin"' in done.stdout and done.stdout.strip().endswith("None"), done.stderr
+
+
 def test_a_rerun_asks_for_new_rows_only(rows, spark):
     done = spark.createDataFrame([(1,), (3,)], "id long")
     assert sorted(r["id"] for r in enrich.pending(rows, done, "id").collect()) == [2, 4]
