@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from solstrand.operators import calendar, geo, ids
+from solstrand.operators import feeds as feed_ops
 from solstrand.plans import feeds, streams
 from solstrand.plans import geo as geo_plans
 from solstrand.sinks.scratch import scratch_path
@@ -50,7 +51,7 @@ def main() -> None:
         return calendar.date_spine(spark)
 
     def stories() -> DataFrame:
-        return feeds._stack(spark, sf_dir)
+        return feed_ops.stacked(feeds.feeds(spark, sf_dir))
 
     def dedup(salts: int):
         def run() -> None:

@@ -38,35 +38,38 @@ COMMON_NAMES = {
 CountryGuess = Callable[[Column], Column]
 
 
-def aligned(name: str, rows: DataFrame, country_guess: CountryGuess) -> DataFrame:
-    """One feed under the common column names; columns the feed lacks are left out.
+def aligned(name: str, rows: DataFrame) -> DataFrame:
+    """One feed under the common column names; columns the feed lacks are left out."""
+    common = [F.col(c).alias(COMMON_NAMES.get(c, c)) for c in FEED_READS[name]]
+    return rows.select(F.lit(name).alias("source"), *common)
 
-    A feed that states its country keeps it, the others get the guess from their content.
-    """
-    reads = FEED_READS[name]
-    common = rows.select(*[F.col(c).alias(COMMON_NAMES.get(c, c)) for c in reads])
-    country = F.col("country") if "country" in reads else country_guess(F.col("content"))
-    return common.withColumns(
-        {
-            "source": F.lit(name),
-            "try_parse_url": url_validity(F.col("url")),
-            "try_parse_publication_date": clean_timestamp(F.col("publication_date")),
-            "try_parse_country": country,
-        }
-    )
 
-
-def stacked(feeds: Mapping[str, DataFrame], country_guess: CountryGuess) -> DataFrame:
+def stacked(feeds: Mapping[str, DataFrame]) -> DataFrame:
     """All feeds one below the other, matched by name; no shuffle.
 
     A column only some feeds have is NULL, of the type it has there, in the others.
     """
-    frames = [aligned(name, rows, country_guess) for name, rows in feeds.items()]
+    frames = [aligned(name, rows) for name, rows in feeds.items()]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    missing = {
-        c: F.lit(None).cast("string") for c in FEED_COLUMNS[1:] if c not in union.columns
-    }
-    return union.withColumns(missing).select(*FEED_COLUMNS[1:])
+    given = [c for c in FEED_COLUMNS if c != "id" and not c.startswith("try_")]
+    missing = {c: F.lit(None).cast("string") for c in given if c not in union.columns}
+    return union.withColumns(missing).select(*given)
+
+
+def checked(rows: DataFrame, country_guess: CountryGuess) -> DataFrame:
+    """The checks next to the stacked columns: URL, publication date, country.
+
+    Feeds that state their country keep it, the others get the guess from their content.
+    """
+    own = [name for name, reads in FEED_READS.items() if "country" in reads]
+    guess = country_guess(F.col("content"))
+    return rows.withColumns(
+        {
+            "try_parse_url": url_validity(F.col("url")),
+            "try_parse_publication_date": clean_timestamp(F.col("publication_date")),
+            "try_parse_country": F.when(F.col("source").isin(own), F.col("country")).otherwise(guess),
+        }
+    )
 
 
 def feeds_union(
@@ -81,20 +84,23 @@ def feeds_union(
     behind the other, so ids stay unique at any size.
 
     One range exchange numbers all feeds together, so a feed with most of the rows is spread over
-    as many tasks as its size asks for.
+    as many tasks as its size asks for.  The country is guessed after it: the exchange looks at
+    its input twice, and a model should be asked once.
     """
-    rows = stacked(feeds, country_guess)
+    rows = stacked(feeds)
     # Rows with the same url, or none, follow in the order of the next columns.
     by_url = [F.col(c).asc_nulls_first() for c in ("url", "local_id", "keyword", "headline")]
     source = F.col("source")
     if id_offsets is None:
         place = F.array_position(F.array(*[F.lit(name) for name in feeds]), source)
-        return numbered(rows, [place, *by_url]).select(*FEED_COLUMNS)
-    if missing := set(feeds) - set(id_offsets):
-        raise ValueError(f"no id offset for {sorted(missing)}")
-    offset = F.coalesce(*[F.when(source == n, F.lit(o)) for n, o in id_offsets.items()])
-    ranked = numbered(rows, by_url, "_rank", group="source")
-    return ranked.withColumn("id", F.col("_rank") + offset).select(*FEED_COLUMNS)
+        ids = numbered(rows, [place, *by_url])
+    else:
+        if missing := set(feeds) - set(id_offsets):
+            raise ValueError(f"no id offset for {sorted(missing)}")
+        offset = F.coalesce(*[F.when(source == n, F.lit(o)) for n, o in id_offsets.items()])
+        ranked = numbered(rows, by_url, "_rank", group="source")
+        ids = ranked.withColumn("id", F.col("_rank") + offset)
+    return checked(ids, country_guess).select(*FEED_COLUMNS)
 
 
 def invalid_url_rows(feed: DataFrame, order: Sequence[str] = ("publication_date",)) -> DataFrame:

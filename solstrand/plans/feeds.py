@@ -76,7 +76,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _stack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.stacked(feeds(spark, sf_dir), country_by_page_language)
+    return ops.checked(ops.stacked(feeds(spark, sf_dir)), country_by_page_language)
 
 
 def _plain(df: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from solstrand import jobs
+from solstrand.operators.enrich import python_scorer
 from solstrand.operators.feeds import FEED_COLUMNS, FEED_READS
 from solstrand.sinks.tables import annotate_table, use_schema
 from solstrand.streaming.hops import append_to_table
@@ -60,6 +62,19 @@ def test_news_table_with_fixed_offsets(spark):
     spark.sql("DROP TABLE all_news")
 
 
+def test_a_model_is_asked_once_per_story(spark):
+    asked = spark.sparkContext.accumulator(0)
+
+    def answer(prompts: pd.Series) -> pd.Series:
+        asked.add(len(prompts))
+        return prompts.str.len().astype(str)
+
+    jobs.store_news(feeds(spark, 20), python_scorer(answer), "asked_news")
+    assert asked.value == 60  # the google feed has no content to ask about
+    assert spark.table("asked_news").filter("try_parse_country IS NULL").count() == 0
+    spark.sql("DROP TABLE asked_news")
+
+
 def test_offsets_collide_where_a_feed_outgrows_them(spark):
     from solstrand.operators.feeds import ID_OFFSETS, feeds_union
 
