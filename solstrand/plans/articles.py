@@ -227,6 +227,7 @@ def email_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words with an @ in all texts, by language and whether they are valid addresses."""
     words = (
         table(spark, sf_dir, "documents")
+        .filter(F.col("text").contains("@"))
         .select("lang", F.explode(F.split("text", r"[ \n]+")).alias("word"))
         .filter(F.col("word").contains("@"))
     )

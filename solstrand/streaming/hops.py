@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -89,10 +90,12 @@ def silver(bronze_stream: DataFrame, scorer: Scorer, **dedup) -> DataFrame:
     """Flat articles, the first per id, with the model's analysis.
 
     Text that was no article has no id: it is dropped here, else one such row would pass as the
-    article with id NULL.
+    article with id NULL.  Copies are removed before flattening, since the flat columns hold the
+    article a second time and would be exchanged with it.
     """
-    articles = flatten_articles(expect(bronze_stream, [identified()]))
-    return analysed(first_seen(articles, **dedup), scorer)
+    articles = expect(bronze_stream, [identified()])
+    unique = first_seen(articles.withColumn("id", F.col("parsed_records.id")), **dedup)
+    return analysed(flatten_articles(unique), scorer)
 
 
 class ArticleStream:
