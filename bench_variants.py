@@ -56,7 +56,7 @@ def main() -> None:
     def dedup(salts: int):
         def run() -> None:
             stream = first_seen(
-                streams._events(spark, sf_dir), "user_id", "ts", salts=salts, spread=["event_id"]
+                streams.events(spark, sf_dir), "user_id", "ts", salts=salts, spread=["event_id"]
             )
             root = scratch_path(spark, "variant")
             append(stream, f"{root}/rows", f"{root}/checkpoint").awaitTermination()

@@ -252,7 +252,7 @@ QUERIES = {
 
 # --- SQL twins ----------------------------------------------------------------------------------
 
-_SENT = f"""(SELECT d.*, c.copy, l.toxic, l.quality,
+SENT = f"""(SELECT d.*, c.copy, l.toxic, l.quality,
       split_part(d.text, chr(10), 1) AS title,
       CASE WHEN copy = 1 AND toxic = 1 THEN NULL ELSE 'articles' END AS topic,
       CAST(d.doc_id % 4 AS INTEGER) AS partition, d.doc_id * 2 + copy AS "offset",
@@ -273,16 +273,16 @@ _PLACES = ", ".join(
 )
 _COUNTS = ", ".join(f"{_hits(p[1])} + {_hits(p[2])} AS {p[0]}" for p in PLACES)
 _PROMPTS = f"""(SELECT doc_id, lang, source, title, {_COUNTS} FROM (
-    SELECT *, title || chr(10) || 'Description: ' || text AS prompt FROM {_SENT} AS s
+    SELECT *, title || chr(10) || 'Description: ' || text AS prompt FROM {SENT} AS s
     WHERE copy = 0) AS p)"""
-_ANALYSED = f"""(SELECT doc_id, lang, source, title, p.* FROM (SELECT *, CASE
+ANALYSED = f"""(SELECT doc_id, lang, source, title, p.* FROM (SELECT *, CASE
       WHEN greatest(en, de, fr, es) = 0 THEN NULL WHEN en = greatest(en, de, fr, es) THEN 'en'
       WHEN de = greatest(en, de, fr, es) THEN 'de' WHEN fr = greatest(en, de, fr, es) THEN 'fr'
       ELSE 'es' END AS guess FROM {_PROMPTS} AS q) AS a
     LEFT JOIN (VALUES {_PLACES}) AS p(ai_language, ai_country, ai_city, ai_state, ai_latitude,
       ai_longitude, ai_wikidataID) ON p.ai_language = a.guess)"""
 _SIDE = float(1 << FINEST)
-_AI_CELL = (
+AI_CELL = (
     f"CAST(floor((ai_latitude + 90.0) / 180.0 * {_SIDE}) * {_SIDE} "
     f"+ floor((ai_longitude + 180.0) / 360.0 * {_SIDE}) AS BIGINT)"
 )
@@ -292,7 +292,7 @@ _SURVEYS = f"""(SELECT *, 'Che cosa pensi di questa notizia da ' || coalesce(ai_
         WHEN 'de' THEN ['Qualità', 'Costi', 'Tempi', 'Accesso']
         WHEN 'fr' THEN ['Utilità', 'Chiarezza', 'Urgenza']
         ELSE ['Vantaggi', 'Problemi'] END AS options
-    FROM {_ANALYSED} AS a)"""
+    FROM {ANALYSED} AS a)"""
 
 
 def _report(source: str, rules: dict[str, str]) -> str:
@@ -305,7 +305,7 @@ def _report(source: str, rules: dict[str, str]) -> str:
 
 _DISTURBED = f"""(SELECT a.ai_language IS NOT NULL AS full_answer, coalesce(l.quality = 0, false)
       AS is_text, coalesce(l.toxic = 1, false) AS has_note
-    FROM {_ANALYSED} AS a LEFT JOIN labels AS l ON l.doc_id = a.doc_id)"""
+    FROM {ANALYSED} AS a LEFT JOIN labels AS l ON l.doc_id = a.doc_id)"""
 
 ORACLES = {
     "bronze_parse": f"""SELECT topic, partition, "offset",
@@ -313,9 +313,9 @@ ORACLES = {
         kind <> 'empty' AS parsed, CASE WHEN kind = 'article' THEN doc_id END AS id,
         CASE WHEN kind = 'article' THEN lang END AS language,
         CASE WHEN kind = 'article' THEN title END AS title,
-        CASE WHEN kind = 'article' THEN 2 END AS n_topics FROM {_SENT} AS s""",
+        CASE WHEN kind = 'article' THEN 2 END AS n_topics FROM {SENT} AS s""",
     "expectation_counts": _report(
-        _SENT,
+        SENT,
         {
             "valid_topic": "topic IS NOT NULL",
             "valid records": "kind <> 'empty'",
@@ -337,23 +337,23 @@ ORACLES = {
         CAST(NULL AS BIGINT) AS sentences_count, len(string_split(text, chr(10)))
         AS paragraphs_count, len(string_split(text, ' ')) AS words_count,
         n_chars AS characters_count, strftime(sent - to_days(copy), '%Y-%m-%d %H:%M:%S') AS got_at,
-        strftime(sent, '%Y-%m-%d') AS enqueued_on FROM {_SENT} AS s WHERE kind = 'article'""",
+        strftime(sent, '%Y-%m-%d') AS enqueued_on FROM {SENT} AS s WHERE kind = 'article'""",
     "silver_dedup": f"""SELECT doc_id AS id, "offset",
         strftime(sent, '%Y-%m-%d %H:%M:%S') AS sent_at, title, lang AS language
-        FROM {_SENT} AS s WHERE copy = 0""",
+        FROM {SENT} AS s WHERE copy = 0""",
     "topics_drift": f"""SELECT sent_as, parsed_as, lang AS language,
         CASE WHEN sent_as = 'objects' THEN upper(lang) WHEN parsed_as = 'names' THEN lang END
           AS first_topic, count(*) AS n,
         CASE WHEN sent_as = 'names' AND parsed_as = 'objects' THEN 0 ELSE count(*) END
           AS n_with_topics
-        FROM {_SENT} AS s, (VALUES ('objects'), ('names')) AS a(sent_as),
+        FROM {SENT} AS s, (VALUES ('objects'), ('names')) AS a(sent_as),
           (VALUES ('objects'), ('names')) AS b(parsed_as) WHERE kind = 'article'
         GROUP BY 1, 2, 3, 4""",
     "enrich_articles": f"""SELECT a.doc_id AS id, ai_language, a.title AS ai_summary, ai_country,
-        ai_city, ai_state, ai_latitude, ai_longitude, ai_wikidataID, {_AI_CELL} AS ai_cell_res_15
-        FROM {_ANALYSED} AS a WHERE a.doc_id NOT IN (SELECT doc_id FROM labels)""",
-    "article_places": f"""SELECT ai_city AS place, {_AI_CELL} AS cell, lang AS language,
-        count(*) AS n FROM {_ANALYSED} AS a WHERE ai_city IS NOT NULL GROUP BY 1, 2, 3""",
+        ai_city, ai_state, ai_latitude, ai_longitude, ai_wikidataID, {AI_CELL} AS ai_cell_res_15
+        FROM {ANALYSED} AS a WHERE a.doc_id NOT IN (SELECT doc_id FROM labels)""",
+    "article_places": f"""SELECT ai_city AS place, {AI_CELL} AS cell, lang AS language,
+        count(*) AS n FROM {ANALYSED} AS a WHERE ai_city IS NOT NULL GROUP BY 1, 2, 3""",
     "enrich_contract_report": _report(
         _DISTURBED,
         {

@@ -85,15 +85,13 @@ def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     summary = F.struct(
         *[
-            given.get(n, F.lit(None)).cast(kind.replace(": ", ":")).alias(n)
+            given.get(n, F.lit(None)).cast(kind).alias(n)
             for n, kind in LISTING_SUMMARY_FIELDS.items()
         ]
     )
     detail = F.struct(
         *[
-            (F.col("p_retailprice") if n == "size" else F.lit(None))
-            .cast(kind.replace(": ", ":"))
-            .alias(n)
+            (F.col("p_retailprice") if n == "size" else F.lit(None)).cast(kind).alias(n)
             for n, kind in LISTING_DETAIL_FIELDS.items()
         ]
     )

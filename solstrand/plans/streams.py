@@ -17,7 +17,7 @@ from solstrand.streaming.dedup import first_seen
 from solstrand.streaming.hops import ArticleStream, append
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream; watermarks need a TIMESTAMP with zone."""
     return stored_table_stream(spark, sf_dir, "events").withColumn(
         "ts", F.col("ts").cast("timestamp")
@@ -33,14 +33,14 @@ def _kept(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
 
 def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users seen in the events: one row each, whichever event came first."""
-    stream = first_seen(_events(spark, sf_dir), key="user_id", event_time="ts", spread=["event_id"])
+    stream = first_seen(events(spark, sf_dir), key="user_id", event_time="ts", spread=["event_id"])
     return _kept(spark, stream.select("user_id"), "stream-dedup")
 
 
 def dedup_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with users forgotten a month after their first event; all events lie within one."""
     stream = first_seen(
-        _events(spark, sf_dir),
+        events(spark, sf_dir),
         key="user_id",
         event_time="ts",
         delay="31 days",
@@ -97,8 +97,8 @@ ORACLES = {
     "stream_dedup_bounded": "SELECT DISTINCT user_id FROM events",
     "stream_bronze": f"""SELECT strftime(sent, '%Y-%m-%d') AS enqueued_on, topic,
         kind <> 'empty' AS parsed, kind = 'article' AS identified, count(*) AS n,
-        count(*) AS n_uuids FROM {articles._SENT} AS s GROUP BY 1, 2, 3, 4""",
+        count(*) AS n_uuids FROM {articles.SENT} AS s GROUP BY 1, 2, 3, 4""",
     "stream_silver": f"""SELECT doc_id AS id, title, lang AS language, ai_language, ai_city,
-        {articles._AI_CELL} AS ai_cell_res_15 FROM {articles._ANALYSED} AS a""",
+        {articles.AI_CELL} AS ai_cell_res_15 FROM {articles.ANALYSED} AS a""",
     "stream_survey_options": articles.ORACLES["survey_options"],
 }
