@@ -16,6 +16,7 @@ from solstrand.plans.messages import (
     article_scorer,
     survey_scorer,
 )
+from solstrand.plans.shown import as_text, as_text_sql
 from solstrand.sources.schemas import ANALYSIS_FIELDS
 from solstrand.sources.tables import table
 
@@ -47,7 +48,7 @@ def text_of(stamp: str) -> Column:
 def bronze_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message with what parsing made of it."""
     article = F.col("parsed_records")
-    return bronze(spark, sf_dir).select(
+    rows = bronze(spark, sf_dir).select(
         "topic",
         "partition",
         "offset",
@@ -59,6 +60,7 @@ def bronze_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         article["title"].alias("title"),
         F.size(article["topics"]).alias("n_topics"),
     )
+    return as_text(rows, "id", "n_topics")
 
 
 def expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,10 +70,13 @@ def expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+FLAT_TEXT = ["is_duplicate", "is_breaking", "read_time", "sentences_count"]
+
+
 def silver_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All flat articles before deduplication: scalar columns, and values inside the nested ones."""
     flat = ops.flatten_articles(bronze(spark, sf_dir))
-    return flat.filter(F.col("id").isNotNull()).select(
+    rows = flat.filter(F.col("id").isNotNull()).select(
         "topic",
         "partition",
         "offset",
@@ -108,6 +113,7 @@ def silver_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
         text_of("getdata_timestamp").alias("got_at"),
         F.col("eh_enqueued_date").cast("string").alias("enqueued_on"),
     )
+    return as_text(rows, *FLAT_TEXT)
 
 
 def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +156,8 @@ def enrich_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     # of the articles, and no id is hot any more.
     todo = enrich.pending(silver(spark, sf_dir), done, "id")
     rows = enrich.analysed(todo, article_scorer())
-    return rows.select("id", *enrich.ANALYSIS_COLUMNS, "ai_cell_res_15")
+    shown = rows.select("id", *enrich.ANALYSIS_COLUMNS, "ai_cell_res_15")
+    return as_text(shown, "ai_cell_res_15")
 
 
 def article_places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,15 +210,19 @@ SURVEY_SHOWN = [
 ]
 
 
+SURVEY_TEXT = ["min_value", "max_value", "show_results_on_close"]
+
+
 def survey_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One survey per article."""
-    return _surveys(spark, sf_dir).select(
+    rows = _surveys(spark, sf_dir).select(
         *SURVEY_SHOWN,
         F.size("options").alias("n_options"),
         F.col("metadata.geographic_context.city").alias("city"),
         F.col("reasoning.options_rationale").alias("rationale"),
         F.get_json_object("news_input_json", "$.country").alias("input_country"),
     )
+    return as_text(rows, *SURVEY_TEXT)
 
 
 def survey_options(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,12 +319,15 @@ _DISTURBED = f"""(SELECT a.ai_language IS NOT NULL AS full_answer, coalesce(l.qu
     FROM {ANALYSED} AS a LEFT JOIN labels AS l ON l.doc_id = a.doc_id)"""
 
 ORACLES = {
-    "bronze_parse": f"""SELECT topic, partition, "offset",
+    "bronze_parse": as_text_sql(
+        f"""SELECT topic, partition, "offset",
         strftime(sent, '%Y-%m-%d %H:%M:%S') AS enqueued_at, strftime(sent, '%Y-%m-%d') AS enqueued_on,
         kind <> 'empty' AS parsed, CASE WHEN kind = 'article' THEN doc_id END AS id,
         CASE WHEN kind = 'article' THEN lang END AS language,
         CASE WHEN kind = 'article' THEN title END AS title,
         CASE WHEN kind = 'article' THEN 2 END AS n_topics FROM {SENT} AS s""",
+        "id", "n_topics",
+    ),
     "expectation_counts": _report(
         SENT,
         {
@@ -322,7 +336,8 @@ ORACLES = {
             "identified article": "kind = 'article'",
         },
     ),
-    "silver_flatten": f"""SELECT topic, partition, "offset",
+    "silver_flatten": as_text_sql(
+        f"""SELECT topic, partition, "offset",
         strftime(sent, '%Y-%m-%d %H:%M:%S') AS sent_at, 0 AS timestampType, doc_id AS id,
         'https://' || source || '.example.org/' || CAST(doc_id AS VARCHAR) AS href,
         strftime(sent - to_days(copy), '%Y-%m-%dT%H:%M:%SZ') AS published_at, title,
@@ -338,6 +353,8 @@ ORACLES = {
         AS paragraphs_count, len(string_split(text, ' ')) AS words_count,
         n_chars AS characters_count, strftime(sent - to_days(copy), '%Y-%m-%d %H:%M:%S') AS got_at,
         strftime(sent, '%Y-%m-%d') AS enqueued_on FROM {SENT} AS s WHERE kind = 'article'""",
+        *FLAT_TEXT,
+    ),
     "silver_dedup": f"""SELECT doc_id AS id, "offset",
         strftime(sent, '%Y-%m-%d %H:%M:%S') AS sent_at, title, lang AS language
         FROM {SENT} AS s WHERE copy = 0""",
@@ -349,9 +366,12 @@ ORACLES = {
         FROM {SENT} AS s, (VALUES ('objects'), ('names')) AS a(sent_as),
           (VALUES ('objects'), ('names')) AS b(parsed_as) WHERE kind = 'article'
         GROUP BY 1, 2, 3, 4""",
-    "enrich_articles": f"""SELECT a.doc_id AS id, ai_language, a.title AS ai_summary, ai_country,
+    "enrich_articles": as_text_sql(
+        f"""SELECT a.doc_id AS id, ai_language, a.title AS ai_summary, ai_country,
         ai_city, ai_state, ai_latitude, ai_longitude, ai_wikidataID, {AI_CELL} AS ai_cell_res_15
         FROM {ANALYSED} AS a WHERE a.doc_id NOT IN (SELECT doc_id FROM labels)""",
+        "ai_cell_res_15",
+    ),
     "article_places": f"""SELECT ai_city AS place, {AI_CELL} AS cell, lang AS language,
         count(*) AS n FROM {ANALYSED} AS a WHERE ai_city IS NOT NULL GROUP BY 1, 2, 3""",
     "enrich_contract_report": _report(
@@ -363,7 +383,8 @@ ORACLES = {
             "every field has its type": "NOT is_text AND full_answer",
         },
     ),
-    "survey_rows": f"""SELECT doc_id AS id, survey_title AS title, title AS description,
+    "survey_rows": as_text_sql(
+        f"""SELECT doc_id AS id, survey_title AS title, title AS description,
         CASE ai_language WHEN 'en' THEN 'single_choice' WHEN 'de' THEN 'rating'
           WHEN 'fr' THEN 'scale' ELSE 'open_text' END AS question_type,
         CAST(CASE WHEN ai_language = 'fr' THEN 1 END AS INTEGER) AS min_value,
@@ -380,6 +401,8 @@ ORACLES = {
         doc_id AS resource_news_id, 1 AS user_id, CAST(len(options) AS INTEGER) AS n_options,
         ai_city AS city, 'template' AS rationale, ai_country AS input_country
         FROM {_SURVEYS} AS s""",
+        *SURVEY_TEXT,
+    ),
     "survey_options": f"""SELECT CAST(CAST(survey_id AS VARCHAR) || CAST(option_order AS VARCHAR)
           AS BIGINT) AS id, survey_id, option_text, option_order, 1 AS user_id
         FROM (SELECT doc_id AS survey_id, unnest(options) AS option_text,

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from solstrand.operators import calendar as ops
+from solstrand.plans.shown import as_text, as_text_sql
 from solstrand.sources.tables import table
 
 ATTRIBUTES = (
@@ -139,9 +140,10 @@ def with_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     calendar = order_calendar(spark, sf_dir)
     joined = ops.calendar_with_indicators(calendar, ops.month_start_indicators(calendar))
     kpi = [F.col(f"k_{c}") for c in INDICATORS]
-    return ops.year_of(joined, today.year).select(
+    rows = ops.year_of(joined, today.year).select(
         "description", *ATTRIBUTES, iso("k_dt").alias("k_iso_date"), *kpi
     )
+    return as_text(rows, *[f"k_{c}" for c in INDICATORS])
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,11 +300,14 @@ ORACLES = {
     "calendar_kpi_daily": f"SELECT iso_date, {_I} FROM ({_indicators(_PERIOD)}) AS k",
     "calendar_kpi_iso_week": f"""SELECT iso_date, day_in_week,
         cum_day_in_iso_week AS cum_day_in_week FROM ({_indicators(_PERIOD)}) AS k""",
-    "calendar_with_kpi": f"""SELECT description, {', '.join(f'a.{c}' for c in ATTRIBUTES)},
+    "calendar_with_kpi": as_text_sql(
+        f"""SELECT description, {', '.join(f'a.{c}' for c in ATTRIBUTES)},
           k.iso_date AS k_iso_date, {', '.join(f'k.{c} AS k_{c}' for c in INDICATORS)}
         FROM ({_attributes(_PERIOD)}) AS a LEFT JOIN {_LABELS} AS l ON a.dt = l.dt
         LEFT JOIN ({_indicators(_MONTH_STARTS)}) AS k ON a.dt = k.dt
         WHERE a.year_num = (SELECT year(max(o_orderdate)) FROM orders) ORDER BY a.dt DESC""",
+        *[f"k_{c}" for c in INDICATORS],
+    ),
     "sales_by_calendar": f"""SELECT a.iso_date, a.year_num, a.month_name, a.quarter_name,
           k.cum_quarter_in_year, k.cum_month_in_year, k.cum_week_in_year, k.cum_day_of_year,
           coalesce(s.n_orders, 0) AS n_orders,

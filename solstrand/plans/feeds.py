@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from solstrand.functions.text import clean_timestamp
 from solstrand.operators import feeds as ops
+from solstrand.plans.shown import as_text, as_text_sql
 from solstrand.sinks.tables import row_count
 from solstrand.sources.tables import table
 
@@ -79,17 +79,13 @@ def _stack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.checked(ops.stacked(feeds(spark, sf_dir)), country_by_page_language)
 
 
-def _plain(df: DataFrame) -> DataFrame:
-    """Timestamps without zone, as the stored tables have them."""
-    stamps = [f.name for f in df.schema if f.dataType.typeName() == "timestamp"]
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
+UNION_TEXT = ["local_id", "try_parse_publication_date"]
 
 
 def union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feeds in one table, ids with the fixed offset of each feed."""
-    return _plain(
-        ops.feeds_union(feeds(spark, sf_dir), country_by_page_language, ops.ID_OFFSETS)
-    )
+    rows = ops.feeds_union(feeds(spark, sf_dir), country_by_page_language, ops.ID_OFFSETS)
+    return as_text(rows, *UNION_TEXT)
 
 
 def global_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +128,7 @@ def url_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scheme_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.count_by_scheme(_stack(spark, sf_dir))
+    return as_text(ops.count_by_scheme(_stack(spark, sf_dir)), "has_http")
 
 
 def http_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +138,8 @@ def http_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dates_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All valid stories with their cleaned publication date."""
     checked = ops.date_check(_stack(spark, sf_dir))
-    return _plain(checked).select("trycast", "source", "local_id", "url", "publication_date")
+    rows = checked.select("trycast", "source", "local_id", "url", "publication_date")
+    return as_text(rows, "trycast", "local_id")
 
 
 def story_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +147,8 @@ def story_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     stories = feeds(spark, sf_dir)
     ids = ops.feeds_union(stories, country_by_page_language)
     middle = stories["bbc"].count() // 2
-    return _plain(ops.date_check(ids, row_id=middle)).select("trycast", "id", "source", "url")
+    rows = ops.date_check(ids, row_id=middle).select("trycast", "id", "source", "url")
+    return as_text(rows, "trycast")
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,9 +216,12 @@ _NUMBERED = f"""(SELECT row_number() OVER (ORDER BY
       AS id, * FROM {_ALIGNED} AS a)"""
 
 ORACLES = {
-    "feeds_union": f"""SELECT row_number() OVER (PARTITION BY source ORDER BY {_BY_URL})
+    "feeds_union": as_text_sql(
+        f"""SELECT row_number() OVER (PARTITION BY source ORDER BY {_BY_URL})
         + CASE source WHEN 'bbc' THEN 0 WHEN 'cnn' THEN 1500 WHEN 'google' THEN 3000 ELSE 4500 END
         AS id, * FROM {_ALIGNED} AS a""",
+        *UNION_TEXT,
+    ),
     "feed_global_ids": f"SELECT id, source, url, keyword FROM {_NUMBERED} AS n",
     "feed_row_count": f"SELECT count(*) AS n FROM {_STORIES} AS s WHERE source = 'bbc'",
     "feed_invalid_urls": f"""SELECT id AS local_id, source, host AS try_parse_url, url, author,
@@ -231,14 +232,24 @@ ORACLES = {
         FROM {_STORIES} AS s WHERE source = 'bbc' AND host IS NULL""",
     "feed_url_validity": f"""SELECT source, try_parse_url, count(*) AS n FROM {_ALIGNED} AS a
         GROUP BY source, try_parse_url""",
-    "feed_scheme_validity": f"""SELECT source, try_parse_url, starts_with(url, 'http') AS has_http,
+    "feed_scheme_validity": as_text_sql(
+        f"""SELECT source, try_parse_url, starts_with(url, 'http') AS has_http,
         count(*) AS n FROM {_ALIGNED} AS a GROUP BY 1, 2, 3""",
+        "has_http",
+    ),
     "feed_http_count": f"SELECT count(*) AS n FROM {_ALIGNED} AS a WHERE starts_with(url, 'http')",
-    "feed_dates_clean": f"""SELECT try_parse_publication_date AS trycast, source, local_id, url,
+    "feed_dates_clean": as_text_sql(
+        f"""SELECT try_parse_publication_date AS trycast, source, local_id, url,
         publication_date FROM {_ALIGNED} AS a WHERE try_parse_url = 'VALID'""",
-    "feed_story_by_id": f"""SELECT try_parse_publication_date AS trycast, id, source, url
+        "trycast",
+        "local_id",
+    ),
+    "feed_story_by_id": as_text_sql(
+        f"""SELECT try_parse_publication_date AS trycast, id, source, url
         FROM {_NUMBERED} AS n WHERE try_parse_url = 'VALID'
         AND id = (SELECT count(*) // 2 FROM {_STORIES} AS s WHERE source = 'bbc')""",
+        "trycast",
+    ),
     "feed_country": f"""SELECT source, country, try_parse_country, count(*) AS n
         FROM {_ALIGNED} AS a GROUP BY 1, 2, 3""",
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from solstrand.operators.frames import drop_void_columns
 from solstrand.operators.snapshots import snapshot_changes
+from solstrand.plans.shown import as_text, as_text_sql
 from solstrand.sinks import tables as sinks
 from solstrand.sinks.scratch import scratch_path
 from solstrand.sources.api_pages import articles_of, parse_pages
@@ -69,7 +70,7 @@ def _order_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change feed between two snapshots of the orders."""
     return snapshot_changes(*_order_snapshots(spark, sf_dir), "o_orderkey").select(
-        "change_type", "copies", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
+        "change_type", F.col("copies").cast("int").alias("copies"), "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
     )
 
 
@@ -149,7 +150,7 @@ def api_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     pages = documents.select(F.to_json(F.struct(article.alias("results"))).alias("page"))
     flat = articles_of(parse_pages(pages, "page"))
-    return flat.select(
+    rows = flat.select(
         "id",
         "title",
         "body",
@@ -165,6 +166,7 @@ def api_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_duplicate",
         "canonical_url",
     )
+    return as_text(rows, "author_id", "is_duplicate")
 
 
 def without_void(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +218,8 @@ ORACLES = {
     "listing_share": """SELECT lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS id,
         p_brand || '/' || CAST(p_partkey AS VARCHAR) AS name FROM part
         WHERE contains(p_name, 'widget') ORDER BY id LIMIT 1""",
-    "results_array_explode": """SELECT d.doc_id AS id, CAST(i AS VARCHAR) AS title,
+    "results_array_explode": as_text_sql(
+        """SELECT d.doc_id AS id, CAST(i AS VARCHAR) AS title,
         string_split(text, chr(10))[i] AS body, CAST(NULL AS VARCHAR) AS excerpt,
         lang AS language, CASE WHEN l.doc_id IS NOT NULL THEN d.doc_id END AS author_id,
         CASE WHEN l.doc_id IS NOT NULL THEN source END AS author_name,
@@ -228,5 +231,8 @@ ORACLES = {
         CAST(NULL AS VARCHAR) AS canonical_url
         FROM (SELECT *, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i
           FROM documents) AS d LEFT JOIN labels AS l ON l.doc_id = d.doc_id""",
+        "author_id",
+        "is_duplicate",
+    ),
     "drop_void_columns": "SELECT * FROM supplier",
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from solstrand.plans import articles
 from solstrand.plans.messages import article_messages, article_scorer, survey_scorer
+from solstrand.plans.shown import as_text, as_text_sql
 from solstrand.sinks.scratch import scratch_path
 from solstrand.sources.messages import stored_table_stream
 from solstrand.sources.tables import table
@@ -76,7 +77,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver table of the stream: which of two equal copies stays is left open."""
     rows = _article_stream(spark, sf_dir, "silver")
-    return rows.select("id", "title", "language", "ai_language", "ai_city", "ai_cell_res_15")
+    shown = rows.select("id", "title", "language", "ai_language", "ai_city", "ai_cell_res_15")
+    return as_text(shown, "ai_cell_res_15")
 
 
 def options(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +100,10 @@ ORACLES = {
     "stream_bronze": f"""SELECT strftime(sent, '%Y-%m-%d') AS enqueued_on, topic,
         kind <> 'empty' AS parsed, kind = 'article' AS identified, count(*) AS n,
         count(*) AS n_uuids FROM {articles.SENT} AS s GROUP BY 1, 2, 3, 4""",
-    "stream_silver": f"""SELECT doc_id AS id, title, lang AS language, ai_language, ai_city,
+    "stream_silver": as_text_sql(
+        f"""SELECT doc_id AS id, title, lang AS language, ai_language, ai_city,
         {articles.AI_CELL} AS ai_cell_res_15 FROM {articles.ANALYSED} AS a""",
+        "ai_cell_res_15",
+    ),
     "stream_survey_options": articles.ORACLES["survey_options"],
 }
