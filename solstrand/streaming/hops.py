@@ -5,7 +5,8 @@ messages -> bronze (parsed, by day) -> silver (flat, first per id, analysed) ->
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,20 +26,33 @@ from solstrand.sources.messages import file_stream
 from solstrand.streaming.dedup import first_seen
 
 
-def keep_state_on_disk(spark: SparkSession) -> None:
-    """Keep the state of streaming queries in RocksDB, unless the session says otherwise.
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
-    The ids seen so far outgrow the executors' memory, where the default store keeps them.  Only
-    the changes of a batch go to the checkpoint, from where any executor takes over.
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Settings a query takes over when it starts; the session has its own again afterwards.
+
+    The ids seen so far outgrow the executors' memory, where the default store keeps them: state
+    goes to RocksDB, and only the changes of a batch to the checkpoint, from where any executor
+    takes over.  A session that names another store keeps it.
     """
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(provider).endswith("HDFSBackedStateStoreProvider"):
-        spark.conf.set(
-            provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        )
-        spark.conf.set(
-            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
-        )
+    wanted = {}
+    if spark.conf.get(PROVIDER).endswith("HDFSBackedStateStoreProvider"):
+        state = "org.apache.spark.sql.execution.streaming.state"
+        wanted[PROVIDER] = f"{state}.RocksDBStateStoreProvider"
+        wanted["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def append(
@@ -53,7 +67,8 @@ def append(
     Without `every` the query works off all there is and ends; started again with the same
     checkpoint it goes on behind the last row, so a finished history is never written twice.
     """
-    return _writer(stream, checkpoint, partition_by, every).start(table)
+    with state_on_disk(stream.sparkSession):
+        return _writer(stream, checkpoint, partition_by, every).start(table)
 
 
 def append_to_table(
@@ -64,13 +79,13 @@ def append_to_table(
     every: str | None = None,
 ) -> StreamingQuery:
     """The same into a catalog table, which is created if need be."""
-    return _writer(stream, checkpoint, partition_by, every).toTable(name)
+    with state_on_disk(stream.sparkSession):
+        return _writer(stream, checkpoint, partition_by, every).toTable(name)
 
 
 def _writer(
     stream: DataFrame, checkpoint: str, partition_by: Sequence[str], every: str | None
 ) -> DataStreamWriter:
-    keep_state_on_disk(stream.sparkSession)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         stream.writeStream.format("parquet")

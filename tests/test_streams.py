@@ -11,7 +11,7 @@ from solstrand.plans.messages import article_scorer, survey_scorer
 from solstrand.sinks.scratch import scratch_path
 from solstrand.sources.messages import file_stream, table_stream
 from solstrand.streaming.dedup import first_seen
-from solstrand.streaming.hops import ArticleStream, append
+from solstrand.streaming.hops import PROVIDER, ArticleStream, append
 from tests.test_articles import message
 
 SCHEMA = (
@@ -130,6 +130,17 @@ def test_bronze_is_stored_by_day(spark, land, tmp_path):
     )
 
 
+def test_the_session_keeps_its_settings(spark, land, tmp_path):
+    before = spark.conf.get(PROVIDER)
+    folder, out = land(str(tmp_path / "in"), MIXED), str(tmp_path / "out")
+    stream = articles.flatten_articles(articles.parse_messages(file_stream(spark, folder)))
+    query = append(first_seen(stream, salts=1), f"{out}/rows", f"{out}/c")
+    query.awaitTermination()
+    assert spark.conf.get(PROVIDER) == before
+    state = query.recentProgress[0].stateOperators[0]
+    assert any(k.startswith("rocksdb") for k in state.customMetrics)
+
+
 def test_unknown_hop(spark, land, tmp_path):
     folder = land(str(tmp_path / "in"), MIXED)
     with pytest.raises(ValueError):
