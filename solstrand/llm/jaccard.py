@@ -5,16 +5,15 @@ Two sets link when 100 * intersection >= 75 * union.  Equal sets are one class f
 1. Candidates.  With all shingles in one order, the first n - ceil(0.75 n) + 1 of a set of n (its
    prefix) meet the prefix of every set it links with.  The order puts shingles found common before
    last, so that widely shared passages seldom make candidates; any order gives all links.
-2. Blocks.  Each class goes to one block, that of its first prefix shingle that another class shares.
-   A block (or, if it is large, a part of it) builds a signature tree and traverses it against
-   itself; what survives is compared exactly.  This joins nearly all that belong together, at the
-   cost of one shipment per class.
-3. Rest.  Runs of a shared shingle that still hold several groups are traversed by a signature tree
-   each, and the surviving pairs between different groups are compared exactly.  The first rounds
-   compare few pairs per pair of groups, since one link joins them; the last compares all left, so no
-   link is lost.
-
-Groups are found with union-find inside blocks and label propagation over the shared folder.
+2. Runs.  The classes that share a prefix shingle make a run; runs of the same classes are one.  Each
+   run builds a signature tree and traverses it against itself, which prunes pairs by their maximum
+   possible overlap.
+3. Exact comparison.  First, each run hands on only pairs that would join two groups if they all
+   linked (a forest); they are compared exactly, and the links merge groups.  Large groups of near
+   copies grow together in this way at the cost of about one comparison a member.  The last round
+   hands on every pair that is left between different groups, so no link is lost.
+
+Groups are merged by label propagation over the shared folder; sets travel to the comparisons only.
 Sets are named by 63-bit hashes of their shingles' 64-bit hashes.
 """
 
@@ -24,11 +23,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from solstrand.llm.common import col, components, fresh, grouped, hash_flags
-from solstrand.llm.signatures import BITS, Groups, build, linked_leaves, signature, similar
+from solstrand.llm.signatures import build, folded, forest, linked_leaves, signature
 from solstrand.llm.words import buffers, mixed, slices, text_sets, words
 from solstrand.sinks.scratch import written
 
@@ -37,8 +36,8 @@ NUM, DEN = 75, 100
 #: Shingles held back to the end of the order: an ordering hint of bounded size.
 HELD_BACK = 1 << 16
 COMMON_SHARE = 1000
-#: Shingles that a part of a block holds, on average.
-PART_SHINGLES = 400_000
+#: Classes of a run that are looked at together in the first round.
+PART = 4096
 FILTER_BITS = 24
 _U = np.uint64
 
@@ -94,20 +93,22 @@ def held_back(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _described(k: int, num: int, den: int, last: np.ndarray) -> Callable:
-    """Per document its id, set name and size; the prefix with the first copy in a task."""
+    """Per document its id, set name and size; bitmap and prefix with the first copy in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in slices(batches, "text"):
-            names, sizes, prefixes = [], [], []
+            names, sizes, bits, prefixes = [], [], [], []
             for elements in _sets(batch, k):
                 name = set_name(elements)
                 names.append(name)
                 sizes.append(len(elements))
                 if name in seen or not len(elements):
+                    bits.append(None)
                     prefixes.append(None)
                     continue
                 seen.add(name)
+                bits.append(signature(elements).tobytes())
                 want = prefix_length(len(elements), num, den)
                 if len(last):
                     at = np.minimum(np.searchsorted(last, elements), len(last) - 1)
@@ -119,6 +120,7 @@ def _described(k: int, num: int, den: int, last: np.ndarray) -> Callable:
                     "id": batch.column("id").cast(pa.int64()),
                     "set_id": pa.array(names, pa.int64()),
                     "n": pa.array(sizes, pa.int64()),
+                    "bits": pa.array(bits, pa.binary()),
                     "prefix": pa.array(prefixes, pa.list_(pa.int64())),
                 }
             )
@@ -127,7 +129,7 @@ def _described(k: int, num: int, den: int, last: np.ndarray) -> Callable:
 
 
 def _wanted(k: int, flags: np.ndarray) -> Callable:
-    """(set_id, n, bits, shingles) of sets whose name passes the filter, once per task."""
+    """(set_id, shingles) of sets whose name passes the filter, once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
@@ -143,8 +145,6 @@ def _wanted(k: int, flags: np.ndarray) -> Callable:
             yield pa.RecordBatch.from_pydict(
                 {
                     "set_id": pa.array(names, pa.int64()),
-                    "n": pa.array([len(x) for x in found], pa.int64()),
-                    "bits": pa.array([signature(x).tobytes() for x in found], pa.binary()),
                     "shingles": pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
                 }
             )
@@ -152,170 +152,133 @@ def _wanted(k: int, flags: np.ndarray) -> Callable:
     return run
 
 
-def _bitmaps(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
+def _run_pairs(num: int, den: int, last: bool) -> Callable:
+    """Pairs between different groups of a run that its signature trees let through.
 
+    Bitmaps grow with the sets.  Similar sets have the same width or the next one, so there is a tree
+    for each width, which holds the next width, too, folded.
+    """
 
-def _block_groups(num: int, den: int) -> Callable:
-    def work(block: pa.Table) -> pa.RecordBatch | None:
-        block = block.sort_by([("n", "ascending"), ("set_id", "ascending")])
-        names = block.column("set_id").to_numpy()
+    def work(run: pa.Table) -> pa.RecordBatch | None:
+        names, sizes = run.column("set_id").to_numpy(), run.column("n").to_numpy()
         if len(names) < 2:
             return None
-        column = block.column("shingles").combine_chunks()
-        elements = column.values.to_numpy().view(_U)
-        at = column.offsets.to_numpy()
-        sets = [elements[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-        groups = Groups(len(names))
-        tree = build(_bitmaps(block.column("bits")), block.column("n").to_numpy())
-        for a, b in linked_leaves(tree, num, den):
-            for x, y in zip(a.tolist(), b.tolist(), strict=True):
-                if groups.root(x) != groups.root(y) and similar(sets[x], sets[y], num, den):
-                    groups.join(x, y)
-        low: dict[int, int] = {}
-        roots = [groups.root(i) for i in range(len(names))]
-        for name, root in zip(names.tolist(), roots, strict=True):
-            low[root] = min(low.get(root, name), name)
-        return pa.RecordBatch.from_pydict(
-            {"set_id": pa.array(names), "grp": pa.array([low[r] for r in roots], pa.int64())}
-        )
+        order = np.lexsort((names, sizes))
+        names, sizes = names[order], sizes[order]
+        bitmaps = run.column("bits").combine_chunks().take(pa.array(order)).to_pylist()
+        bitmaps = [np.frombuffer(x, np.uint64) for x in bitmaps]
+        widths = np.array([len(x) * 64 for x in bitmaps])
+        _, groups = np.unique(run.column("grp").to_numpy()[order], return_inverse=True)
+        found = []
+        for bits in np.unique(widths).tolist():
+            own = np.flatnonzero((widths == bits) | (widths == 2 * bits))
+            tree = build(np.stack([folded(bitmaps[i], bits) for i in own]), sizes[own])
+            pairs = (
+                (own[a], own[b])
+                for a, b in linked_leaves(tree, num, den, lambda own=own: groups[own])
+            )
+            narrow = ((a[widths[a] == bits], b[widths[a] == bits]) for a, b in pairs)
+            if last:
+                narrow = ((a[groups[a] != groups[b]], b[groups[a] != groups[b]]) for a, b in narrow)
+            else:
+                narrow = forest(narrow, groups)
+            found += [np.stack([names[a], names[b]], 1) for a, b in narrow]
+        if not found:
+            return None
+        both = np.concatenate(found)
+        return pa.RecordBatch.from_pydict({"a": pa.array(both.min(1)), "b": pa.array(both.max(1))})
 
     return work
 
 
-def _run_pairs(num: int, den: int, most: int | None) -> Callable:
-    """Pairs between different groups of a run that its signature tree lets through."""
-
-    def work(run: pa.Table) -> pa.RecordBatch | None:
-        names, grp = run.column("set_id").to_numpy(), run.column("grp").to_numpy()
-        sizes, bits = run.column("n").to_numpy(), _bitmaps(run.column("bits"))
-        order = np.lexsort((names, sizes, grp))
-        names, grp, sizes, bits = names[order], grp[order], sizes[order], bits[order]
-        taken: dict[tuple[int, int], int] = {}
-        out: list[np.ndarray] = []
-        for a, b in linked_leaves(build(bits, sizes), num, den):
-            cross = grp[a] != grp[b]
-            a, b = a[cross], b[cross]
-            if not len(a):
-                continue
-            if most is None:
-                out.append(np.stack([names[a], names[b]], 1))
-                continue
-            ga, gb = np.minimum(grp[a], grp[b]), np.maximum(grp[a], grp[b])
-            by = np.lexsort((gb, ga))
-            new = np.ones(len(by), bool)
-            new[1:] = (ga[by][1:] != ga[by][:-1]) | (gb[by][1:] != gb[by][:-1])
-            starts = np.append(np.flatnonzero(new), len(by))
-            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                pair = (int(ga[by[s]]), int(gb[by[s]]))
-                free = most - taken.get(pair, 0)
-                if free > 0:
-                    some = by[s : min(e, s + free)]
-                    taken[pair] = taken.get(pair, 0) + len(some)
-                    out.append(np.stack([names[a[some]], names[b[some]]], 1))
-        if not out:
-            return None
-        pairs = np.concatenate(out)
-        return pa.RecordBatch.from_pydict(
-            {"a": pa.array(pairs.min(1)), "b": pa.array(pairs.max(1))}
-        )
-
-    return work
+def _exact_links(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The pairs whose sets are similar; only sets of the pairs are made again and exchanged."""
+    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    flags = hash_flags(wanted, "set_id", FILTER_BITS)
+    sets = docs.select("text").mapInArrow(_wanted(k, flags), "set_id long, shingles array<long>")
+    sets = written(sets.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]), "wanted")
+    left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    reaches = den * both >= num * (F.size("x") + F.size("y") - both)
+    return written(pairs.join(left, "a").join(right, "b").filter(reaches).select("a", "b"), "links")
 
 
 def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """(id, set_id, n, grp): each document's set, and the group of sets its own is linked with.
 
-    `docs` has `id` (integer or NULL) and `text`; it is read four times, so it must be stored rows.
+    `docs` has `id` (integer or NULL) and `text`; it is read several times, so it must be stored rows.
     """
     last = held_back(docs, k)
     members = written(
         docs.select("id", "text").mapInArrow(
-            _described(k, num, den, last), "id long, set_id long, n long, prefix array<long>"
+            _described(k, num, den, last), "id long, set_id long, n long, bits binary, prefix array<long>"
         ),
         "sets",
     )
-    tokens = members.filter("prefix IS NOT NULL").select("set_id", "n", F.explode("prefix").alias("token"))
-    run = Window.partitionBy("token").orderBy("set_id")
-    shared = written(
-        tokens.withColumns({"prev": F.lag("set_id").over(run), "next": F.lead("set_id").over(run)})
-        # Copies of a row need not stay: one of them borders on another set if there is one.
-        .filter("(prev IS NOT NULL AND prev <> set_id) OR (next IS NOT NULL AND next <> set_id)")
-        .select("token", "set_id", "n"),
-        "shared",
-    )
-    blocks = written(
-        shared.groupBy("set_id").agg(F.min("token").alias("block"), F.max("n").alias("n")), "blocks"
-    )
-    plain = members.select("id", "set_id", "n")
-    flags = hash_flags(blocks, "set_id", FILTER_BITS)
-    parts = blocks.groupBy("block").agg(F.ceil(F.sum("n") / PART_SHINGLES).alias("parts"))
-    placed = blocks.select("set_id", "block").join(parts, "block").select(
-        "set_id", "block", F.pmod(F.xxhash64("set_id"), F.col("parts")).alias("part")
-    )
-    sets = docs.select("text").mapInArrow(
-        _wanted(k, flags), "set_id long, n long, bits binary, shingles array<long>"
-    )
-    sets = written(sets.join(placed, "set_id").dropDuplicates(["set_id"]), "wanted")
-    in_blocks = (
-        sets.repartition("block", "part")
-        .sortWithinPartitions("block", "part")
-        .mapInArrow(grouped(["block", "part"], _block_groups(num, den)), "set_id long, grp long")
+    tokens = members.filter("prefix IS NOT NULL").select("set_id", F.explode("prefix").alias("token"))
+    by_token = Window.partitionBy("token")
+    in_order = by_token.orderBy("set_id")
+    # A run is named by its members, so runs of the same members are one; should two runs get
+    # one name, their union is looked at.
+    runs = written(
+        tokens.withColumns(
+            {
+                "low": F.lag("set_id").over(in_order),
+                "high": F.lead("set_id").over(in_order),
+                "run": F.bit_xor(F.xxhash64("set_id")).over(by_token),
+            }
+        )
+        # Of the copies of a row one borders on another set, if there is one.
+        .filter("low <> set_id OR high <> set_id")
+        .select("run", "set_id")
+        .distinct(),
+        "runs",
     )
-    groups = written(in_blocks, "groups")
-    for most in (1, 16, None):
-        named = shared.join(groups, "set_id", "left").withColumn("grp", F.coalesce("grp", "set_id"))
-        run = Window.partitionBy("token")
-        mixed_runs = (
-            named.withColumns({"low": F.min("grp").over(run), "high": F.max("grp").over(run)})
+    known = runs.select("set_id").distinct()
+    described = members.filter("prefix IS NOT NULL").select("set_id", "n", "bits")
+    bitmaps = written(described.join(known, "set_id", "left_semi").dropDuplicates(["set_id"]), "bitmaps")
+    groups = bitmaps.select("set_id", F.col("set_id").alias("grp"))
+    tested = None
+    for parted, final in ((True, False), (False, False), (False, True)):
+        by_run = Window.partitionBy("run")
+        size = F.count("*").over(by_run)
+        part = F.pmod(F.xxhash64("set_id"), F.ceil(size / PART)) if parted else F.lit(0)
+        open_runs = (
+            runs.join(groups, "set_id")
+            .withColumns({"low": F.min("grp").over(by_run), "high": F.max("grp").over(by_run), "part": part})
             .filter("low <> high")
-            .select("token", "set_id", "grp")
-            .dropDuplicates(["token", "set_id"])
+            .select("run", "part", "set_id", "grp")
         )
         pairs = (
-            mixed_runs.join(sets.select("set_id", "n", "bits"), "set_id")
-            .select("token", "set_id", "grp", "n", "bits")
-            .repartition("token")
-            .sortWithinPartitions("token")
-            .mapInArrow(grouped(["token"], _run_pairs(num, den, most)), "a long, b long")
+            open_runs.join(bitmaps, "set_id")
+            .repartition("run", "part")
+            .sortWithinPartitions("run", "part")
+            .mapInArrow(grouped(["run", "part"], _run_pairs(num, den, final)), "a long, b long")
             .distinct()
         )
-        left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
-        right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        links = written(
-            pairs.join(left, "a")
-            .join(right, "b")
-            .filter(_reaches(both, num, den))
-            .select("a", "b"),
-            "links",
-        )
+        pairs = written(pairs.join(tested, ["a", "b"], "left_anti") if tested else pairs, "pairs")
+        tested = tested.union(pairs) if tested else pairs
+        if pairs.limit(1).count() == 0:
+            continue
+        links = _exact_links(docs, pairs, k, num, den)
         if links.limit(1).count() == 0:
             continue
         of = lambda c: groups.select(F.col("set_id").alias(c), F.col("grp").alias(f"g{c}"))
-        edges = (
-            links.join(of("a"), "a", "left")
-            .join(of("b"), "b", "left")
-            .select(F.coalesce("ga", "a").alias("ga"), F.coalesce("gb", "b").alias("gb"))
-        )
-        roots = components(edges, "ga", "gb")
-        known = blocks.select("set_id").join(groups, "set_id", "left")
-        known = known.withColumn("grp", F.coalesce("grp", "set_id"))
+        roots = components(links.join(of("a"), "a").join(of("b"), "b"), "ga", "gb")
         groups = written(
-            known.join(roots, F.col("grp") == F.col("node"), "left").select(
+            groups.join(roots, F.col("grp") == F.col("node"), "left").select(
                 "set_id", F.coalesce("root", "grp").alias("grp")
             ),
             "groups",
         )
-    return plain.join(groups, "set_id", "left").select(
-        "id", "set_id", "n", F.coalesce("grp", "set_id").alias("grp")
+    return (
+        members.select("id", "set_id", "n")
+        .join(groups, "set_id", "left")
+        .select("id", "set_id", "n", F.coalesce("grp", "set_id").alias("grp"))
     )
 
 
-def _reaches(both: Column, num: int, den: int) -> Column:
-    return den * both >= num * (F.size("x") + F.size("y") - both)
-
-
 def document_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document.
 

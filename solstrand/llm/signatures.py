@@ -7,22 +7,35 @@ share; pairs of nodes that cannot reach the similarity are dropped with all that
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 
-BITS = 512
+LEAST_BITS = 512
 FANOUT = 8
 # Node pairs looked at together: bounds the memory of a traversal, not its result.
 FRONTIER = 1 << 16
 
 
+def width(size: int) -> int:
+    """Bits of a set's bitmap: the power of two from twice its size up, so at most half are set."""
+    return max(LEAST_BITS, 1 << max(2 * size - 1, 1).bit_length())
+
+
 def signature(elements: np.ndarray) -> np.ndarray:
-    out = np.zeros(BITS // 64, np.uint64)
-    place = elements & np.uint64(BITS - 1)
-    np.bitwise_or.at(out, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
-    return out
+    bits = width(len(elements))
+    flags = np.zeros(bits, np.uint8)
+    flags[(elements & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little").view(np.uint64)
+
+
+def folded(bitmap: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap of the same set with fewer bits."""
+    while len(bitmap) * 64 > bits:
+        half = len(bitmap) // 2
+        bitmap = bitmap[:half] | bitmap[half:]
+    return bitmap
 
 
 class Level(NamedTuple):
@@ -72,19 +85,35 @@ def _may_link(level: Level, a: np.ndarray, b: np.ndarray, num: int, den: int) ->
 
 
 def linked_leaves(
-    levels: list[Level], num: int, den: int
+    levels: list[Level], num: int, den: int, grouping: Callable[[], np.ndarray] | None = None
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of leaves (a < b) that may be similar, from a dual traversal of the tree with itself."""
+    """Pairs of leaves (a < b) that may be similar, from a dual traversal of the tree with itself.
+
+    They come in batches, the most similar bitmaps of a batch first.  `grouping` gives the current
+    group of each leaf: node pairs whose leaves are all of one group are not opened.
+    """
     top = len(levels) - 1
     stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while stack:
         depth, a, b = stack.pop()
+        if grouping is not None:
+            groups = grouping()
+            at = np.arange(0, len(groups), FANOUT**depth)
+            low, high = np.minimum.reduceat(groups, at), np.maximum.reduceat(groups, at)
+            open_ = (low[a] != high[a]) | (low[b] != high[b]) | (low[a] != low[b])
+            a, b = a[open_], b[open_]
+        if not len(a):
+            continue
         if depth == 0:
             apart = a < b
             a, b = a[apart], b[apart]
             ok = _may_link(levels[0], a, b, num, den) if len(a) else np.zeros(0, bool)
             if ok.any():
-                yield a[ok], b[ok]
+                a, b = a[ok], b[ok]
+                x, y = levels[0].bits[a], levels[0].bits[b]
+                alike = np.bitwise_count(x & y).sum(1) / np.maximum(np.bitwise_count(x | y).sum(1), 1)
+                best = np.argsort(-alike, kind="stable")
+                yield a[best], b[best]
             continue
         ok = (a == b) | _may_link(levels[depth], a, b, num, den)
         a, b = a[ok], b[ok]
@@ -97,26 +126,19 @@ def linked_leaves(
             stack.append((depth - 1, ca[inside], cb[inside]))
 
 
-class Groups:
-    """Union-find over 0..n-1."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        up = self.up
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    def join(self, a: int, b: int) -> None:
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self.up[max(a, b)] = min(a, b)
-
-
-def similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
-    """den * intersection >= num * union, of sorted distinct values."""
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return den * both >= num * (len(x) + len(y) - both)
+def forest(
+    pairs: Iterator[tuple[np.ndarray, np.ndarray]], groups: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of the pairs, those that join two groups; `groups` is merged as if they all were links."""
+    for a, b in pairs:
+        kept = []
+        rest = np.flatnonzero(groups[a] != groups[b])
+        while len(rest):
+            i = rest[0]
+            kept.append(i)
+            x, y = groups[a[i]], groups[b[i]]
+            groups[groups == max(x, y)] = min(x, y)
+            rest = rest[1:]
+            rest = rest[groups[a[rest]] != groups[b[rest]]]
+        if kept:
+            yield a[kept], b[kept]
