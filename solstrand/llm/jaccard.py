@@ -5,8 +5,8 @@ Two sets link when 100 * intersection >= 75 * union.  Equal sets are one class f
 1. Candidates.  With all shingles in one order, the first n - ceil(0.75 n) + 1 of a set of n (its
    prefix) meet the prefix of every set it links with.  The order puts shingles found common before
    last, so that widely shared passages seldom make candidates; any order gives all links.
-2. Runs.  The classes that share a prefix shingle make a run; runs of the same classes are one.  Each
-   run builds a signature tree and traverses it against itself, which prunes pairs by their maximum
+2. Runs.  The classes that share a prefix shingle make a run; runs with the same least class are one.
+   Each run builds a signature tree and traverses it against itself, which prunes pairs by their maximum
    possible overlap.
 3. Exact comparison.  First, each run hands on only pairs that would join two groups if they all
    linked (a forest); they are compared exactly, and the links merge groups.  Large groups of near
@@ -186,7 +186,8 @@ def _run_pairs(num: int, den: int, last: bool) -> Callable:
         if not found:
             return None
         both = np.concatenate(found)
-        return pa.RecordBatch.from_pydict({"a": pa.array(both.min(1)), "b": pa.array(both.max(1))})
+        name = pa.array([run.column("run")[0].as_py()] * len(both), pa.int64())
+        return pa.RecordBatch.from_pydict({"run": name, "a": pa.array(both.min(1)), "b": pa.array(both.max(1))})
 
     return work
 
@@ -216,25 +217,30 @@ def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DE
         ),
         "sets",
     )
-    tokens = members.filter("prefix IS NOT NULL").select("set_id", F.explode("prefix").alias("token"))
+    tokens = members.filter("prefix IS NOT NULL").select("set_id", "n", F.explode("prefix").alias("token"))
     by_token = Window.partitionBy("token")
     in_order = by_token.orderBy("set_id")
-    # A run is named by its members, so runs of the same members are one; should two runs get
-    # one name, their union is looked at.
-    runs = written(
+    # A run is named by its least member, and runs of one name are looked at as one: copies share
+    # many shingles, and each class is sent to few runs.
+    named = (
         tokens.withColumns(
             {
                 "low": F.lag("set_id").over(in_order),
                 "high": F.lead("set_id").over(in_order),
-                "run": F.bit_xor(F.xxhash64("set_id")).over(by_token),
+                "run": F.min("set_id").over(by_token),
             }
         )
         # Of the copies of a row one borders on another set, if there is one.
         .filter("low <> set_id OR high <> set_id")
-        .select("run", "set_id")
-        .distinct(),
-        "runs",
+        .select("run", "set_id", "n")
+        .distinct()
     )
+    # Similar sets have sizes alike; who is unlike the next smaller and larger in a run is alone there.
+    by_size = Window.partitionBy("run").orderBy("n", "set_id")
+    near = (den * F.lag("n").over(by_size) >= num * F.col("n")) | (
+        num * F.lead("n").over(by_size) <= den * F.col("n")
+    )
+    runs = written(named.withColumn("near", near).filter("near").select("run", "set_id"), "runs")
     known = runs.select("set_id").distinct()
     described = members.filter("prefix IS NOT NULL").select("set_id", "n", "bits")
     bitmaps = written(described.join(known, "set_id", "left_semi").dropDuplicates(["set_id"]), "bitmaps")
@@ -250,13 +256,18 @@ def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DE
             .filter("low <> high")
             .select("run", "part", "set_id", "grp")
         )
-        pairs = (
+        found = (
             open_runs.join(bitmaps, "set_id")
             .repartition("run", "part")
             .sortWithinPartitions("run", "part")
-            .mapInArrow(grouped(["run", "part"], _run_pairs(num, den, final)), "a long, b long")
-            .distinct()
+            .mapInArrow(grouped(["run", "part"], _run_pairs(num, den, final)), "run long, a long, b long")
         )
+        found = written(found, "found")
+        # A run that let nothing through has no pair for later rounds, either, unless it was in parts.
+        large = runs.groupBy("run").agg(F.count("*").alias("m")).filter(F.col("m") > PART)
+        still = found.select("run").union(large.select("run")).distinct()
+        runs = written(runs.join(still, "run", "left_semi"), "runs")
+        pairs = found.select("a", "b").distinct()
         pairs = written(pairs.join(tested, ["a", "b"], "left_anti") if tested else pairs, "pairs")
         tested = tested.union(pairs) if tested else pairs
         if pairs.limit(1).count() == 0:
