@@ -14,7 +14,7 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solstrand.operators import calendar, geo, ids
+from solstrand.operators import calendar, ids
 from solstrand.operators import feeds as feed_ops
 from solstrand.plans import feeds, streams
 from solstrand.plans import geo as geo_plans
@@ -65,13 +65,13 @@ def main() -> None:
 
     def world(broadcasts: bool):
         def build() -> DataFrame:
-            original = geo.few_rows
+            limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
             if not broadcasts:
-                geo.few_rows = lambda df: False
+                spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
             try:
                 return geo_plans.chain_join(spark, sf_dir)
             finally:
-                geo.few_rows = original
+                spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
         return build
 

@@ -13,7 +13,7 @@ from solstrand.operators.calendar import (
     special_dates,
     with_calendar,
 )
-from solstrand.operators.feeds import ID_OFFSETS, CountryGuess, feeds_union
+from solstrand.operators.feeds import CountryGuess, feeds_union
 from solstrand.operators.frames import drop_void_columns
 from solstrand.operators.geo import world
 from solstrand.sinks.tables import declare_table, insert_by_position, replace_table
@@ -63,9 +63,9 @@ def store_news(
     feeds: Mapping[str, DataFrame],
     country_guess: CountryGuess,
     table: str,
-    id_offsets: Mapping[str, int] | None = ID_OFFSETS,
+    id_offsets: Mapping[str, int] | None = None,
 ) -> None:
-    """All feeds in one table."""
+    """All feeds in one table; `id_offsets` as in `feeds_union`."""
     replace_table(feeds_union(feeds, country_guess, id_offsets), table)
 
 

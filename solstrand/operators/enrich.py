@@ -70,9 +70,14 @@ def pending(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 def answered(rows: DataFrame, prompt: Column, scorer: Scorer, schema: str, name: str) -> DataFrame:
-    """The answer as JSON text `<name>_json` and as a typed struct `name`."""
+    """The answer as JSON text `<name>_json` and as a typed struct `name`.
+
+    The struct comes out of a generator over one element.  Fields of an expression would each be
+    parsed anew by whatever uses them; a generated column is parsed once for each row.
+    """
     raw = f"{name}_json"
-    return rows.withColumn(raw, scorer(prompt)).withColumn(name, F.from_json(raw, schema))
+    asked = rows.withColumn(raw, scorer(prompt))
+    return asked.withColumn(name, F.explode(F.array(F.from_json(raw, schema))))
 
 
 def analysed(articles: DataFrame, scorer: Scorer) -> DataFrame:

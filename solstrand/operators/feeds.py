@@ -72,6 +72,12 @@ def checked(rows: DataFrame, country_guess: CountryGuess) -> DataFrame:
     )
 
 
+def _last_ids(id_offsets: Mapping[str, int]) -> dict[str, int | None]:
+    """The last id each feed may have; none is set for the one with the highest offset."""
+    above = sorted(id_offsets.values())
+    return {n: next((o for o in above if o > own), None) for n, own in id_offsets.items()}
+
+
 def feeds_union(
     feeds: Mapping[str, DataFrame],
     country_guess: CountryGuess,
@@ -79,9 +85,9 @@ def feeds_union(
 ) -> DataFrame:
     """The feeds in one table with an `id` by order of `url`.
 
-    With `id_offsets` the numbers restart in every feed and its fixed offset is added: ids collide
-    as soon as a feed outgrows the gap to the next offset.  Without, the feeds are numbered one
-    behind the other, so ids stay unique at any size.
+    The feeds are numbered one behind the other, so ids are unique at any size.  With `id_offsets`
+    the numbers restart in every feed and its fixed offset is added; the job fails when a feed
+    outgrows the gap to the next offset, where ids would collide.
 
     One range exchange numbers all feeds together, so a feed with most of the rows is spread over
     as many tasks as its size asks for.  The country is guessed after it: the exchange looks at
@@ -98,8 +104,11 @@ def feeds_union(
         if missing := set(feeds) - set(id_offsets):
             raise ValueError(f"no id offset for {sorted(missing)}")
         offset = F.coalesce(*[F.when(source == n, F.lit(o)) for n, o in id_offsets.items()])
+        last = F.coalesce(*[F.when(source == n, F.lit(o)) for n, o in _last_ids(id_offsets).items()])
         ranked = numbered(rows, by_url, "_rank", group="source")
-        ids = ranked.withColumn("id", F.col("_rank") + offset)
+        number = F.col("_rank") + offset
+        outgrown = F.raise_error(F.concat(F.lit("ids of feed "), source, F.lit(" outgrow its offset")))
+        ids = ranked.withColumn("id", F.when(number > last, outgrown).otherwise(number))
     return checked(ids, country_guess).select(*FEED_COLUMNS)
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from solstrand.functions.grid import FINEST, cell, cell_columns, coarser
-from solstrand.operators.joins import few_rows
 
 # The attributes of each level, as named in the source tables.
 CITY = "id name latitude longitude native timezone translations wikiDataId".split()
@@ -29,7 +28,6 @@ def _level(
     prefix: str,
     names: Sequence[str],
     parent: str = "",
-    resolutions: Sequence[int] = (),
 ) -> DataFrame:
     """The level's columns under its prefix, the parent's id as `_parent_<prefix>`.
 
@@ -39,9 +37,6 @@ def _level(
     columns = [F.col(c).alias(f"{prefix}_{c}") for c in have]
     if parent:
         columns.append(F.col(parent).alias(f"_parent_{prefix}"))
-    if resolutions and {"longitude", "latitude"} <= set(have):
-        df = df.withColumn("_finest", cell(F.col("longitude"), F.col("latitude")))
-        columns += cell_columns(prefix, "_finest", resolutions)
     return df.select(*columns)
 
 
@@ -58,24 +53,30 @@ def world(
     Cities, states and countries carry their cell at each of `resolutions`: 48 columns by default.
 
     A city without a match on every level above drops out.  The levels are joined from the top
-    down, so the cities, by far the largest level, are joined once: without an exchange if the
-    levels above are few rows, else with one, where adaptive execution splits a state that holds
-    a large part of the cities.
+    down, so the cities, by far the largest level, are joined once.  How is the planner's choice: a
+    side below spark.sql.autoBroadcastJoinThreshold is broadcast, else both are exchanged and
+    adaptive execution splits a state that holds a large part of the cities.  Only coordinates
+    travel; the cells are worked out behind the last join.
     """
     steps = [
         (_level(subregions, "subregion", SUBREGION, "region_id"), "subregion", "region_id"),
-        (_level(countries, "country", COUNTRY, "subregion_id", resolutions), "country", "subregion_id"),
-        (_level(states, "state", STATE, "country_id", resolutions), "state", "country_id"),
-        (_level(cities, "cities", CITY, "state_id", resolutions), "cities", "state_id"),
+        (_level(countries, "country", COUNTRY, "subregion_id"), "country", "subregion_id"),
+        (_level(states, "state", STATE, "country_id"), "state", "country_id"),
+        (_level(cities, "cities", CITY, "state_id"), "cities", "state_id"),
     ]
-    top, small = _level(regions, "region", REGION), True
+    top = _level(regions, "region", REGION)
     for level, prefix, parent_id in steps:
-        # Below a level of many rows there are no levels of few rows: no need to look.
-        small = small and few_rows(top)
-        top = F.broadcast(top) if small else top.hint("merge")
         own = f"_parent_{prefix}"
         top = level.join(top, F.col(own) == F.col(parent_id)).drop(own)
-    return top
+    finest, columns = {}, []
+    for level, prefix, _ in reversed(steps):
+        columns += [F.col(c) for c in level.columns if c != f"_parent_{prefix}"]
+        place = [f"{prefix}_longitude", f"{prefix}_latitude"]
+        if resolutions and set(place) <= set(top.columns):
+            finest[f"_finest_{prefix}"] = cell(*[F.col(c) for c in place])
+            columns += cell_columns(prefix, f"_finest_{prefix}", resolutions)
+    last = [F.col(c) for c in top.columns if c.startswith("region_")]
+    return top.withColumns(finest).select(*columns, *last)
 
 
 def cell_rollup(
@@ -84,11 +85,12 @@ def cell_rollup(
     """Rows and the exact sum of `value` per cell at all sixteen resolutions.
 
     Rows are summed into the finest cells first, within each task before the exchange; only these
-    sums are copied to the coarser cells above them.
+    sums are copied to the coarser cells above them.  Rows without a place on the globe are in the
+    NULL cell of every resolution.
     """
+    placed = longitude.between(-180, 180) & latitude.between(-90, 90)
     finest = (
-        df.filter(longitude.between(-180, 180) & latitude.between(-90, 90))
-        .select(cell(longitude, latitude).alias("_cell"), value.alias("_value"))
+        df.select(F.when(placed, cell(longitude, latitude)).alias("_cell"), value.alias("_value"))
         .groupBy("_cell")
         .agg(F.count("*").alias("_n"), F.sum("_value").alias("_sum"))
     )

@@ -2,68 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from solstrand.functions.rows import row_fingerprint
-from solstrand.sinks.scratch import written
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows that differ, with `change_type` insert, update_preimage, update_postimage or delete.
 
     `copies` says how many equal rows came or went; it is 1 where the key is unique, and keeps the
-    result exact where it is not.  Only key and fingerprint of the rows are exchanged, summed per
-    task before, so a pile of copies is one small row per task.  The changed fingerprints are
-    written out once; the columns of the changed rows are fetched by a second scan.
+    result exact where it is not.  Both snapshots are scanned and exchanged once.  Equal rows are
+    summed up within each task before, so what did not change leaves one row per task at most, and a
+    pile of copies is one row per task.  Only changed rows are gathered by key.
     """
     columns = [c for c in old.columns if c != key]
     if set(old.columns) != set(new.columns):
         raise ValueError("the snapshots have different columns")
 
     def marked(df: DataFrame, step: int) -> DataFrame:
-        mark = row_fingerprint(sorted(columns))
-        return df.select(F.col(key), mark.alias("_mark"), F.lit(step).alias("_step"))
+        return df.select(
+            F.col(key),
+            row_fingerprint(sorted(columns)).alias("_mark"),
+            F.lit(step).alias("_step"),
+            F.struct(*columns).alias("_row"),
+        )
 
-    versions = written(
+    versions = (
         marked(old, -1)
         .unionByName(marked(new, 1))
         .groupBy(key, "_mark")
-        .agg(F.sum("_step").alias("_net"))
-        .filter(F.col("_net") != 0),
-        "changed",
+        .agg(F.sum("_step").alias("_net"), F.first("_row").alias("_row"))
+        .filter(F.col("_net") != 0)
     )
-    kinds = versions.groupBy(key).agg(
-        F.max(F.col("_net") < 0).alias("_left"), F.max(F.col("_net") > 0).alias("_came")
+    of_key = Window.partitionBy(key)
+    gone = F.col("_net") < 0
+    both = F.max(gone).over(of_key) & F.max(~gone).over(of_key)
+    kind = (
+        F.when(both & gone, "update_preimage")
+        .when(both, "update_postimage")
+        .when(gone, "delete")
+        .otherwise("insert")
     )
-    changed = (
-        versions.alias("v")
-        .join(kinds.alias("k"), F.col(f"v.{key}").eqNullSafe(F.col(f"k.{key}")))
-        .select(f"v.{key}", "_mark", "_net", "_left", "_came")
+    return versions.withColumn("change_type", kind).select(
+        "change_type",
+        F.abs("_net").alias("copies"),
+        *[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in old.columns],
     )
-
-    def images(df: DataFrame, gone: bool) -> DataFrame:
-        side = changed.filter(F.col("_net") < 0 if gone else F.col("_net") > 0)
-        both = F.col("_left") & F.col("_came")
-        if gone:
-            kind = F.when(both, "update_preimage").otherwise("delete")
-        else:
-            kind = F.when(both, "update_postimage").otherwise("insert")
-        rows = df.withColumn("_mark", row_fingerprint(sorted(columns)))
-        return (
-            rows.alias("r")
-            .join(
-                side.alias("c"),
-                F.col(f"r.{key}").eqNullSafe(F.col(f"c.{key}"))
-                & (F.col("r._mark") == F.col("c._mark")),
-            )
-            .select(
-                kind.alias("change_type"),
-                F.abs("_net").alias("copies"),
-                *[F.col(f"r.{c}") for c in old.columns],
-            )
-            # Equal copies of a row are one row of the result, with their number.
-            .distinct()
-        )
-
-    return images(old, gone=True).unionByName(images(new, gone=False))

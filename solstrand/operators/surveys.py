@@ -19,7 +19,7 @@ from solstrand.sources.schemas import (
     SURVEY_REQUIRED,
 )
 
-# Field of the model's input -> column of the analysed article.
+# Field of the model's input -> column of the analysed article.
 NEWS_INPUT = {
     "language": "ai_language",
     "summary": "ai_summary",
@@ -30,7 +30,7 @@ NEWS_INPUT = {
     "longitude": "ai_longitude",
     "wikidataID": "ai_wikidataID",
 }
-# Columns of the survey table in order.
+# Columns of the survey table in order.
 SURVEY_COLUMNS = [
     "id", "title", "description", "question_type", "min_value", "max_value", "scale_min_label",
     "scale_max_label", "created_at", "closure_type", "expires_at", "is_active",
@@ -78,9 +78,13 @@ def survey_rows(articles: DataFrame, scorer: Scorer) -> DataFrame:
 def joined_key(*parts: Column) -> Column:
     """BIGINT from the digits of the parts in a row.
 
-    Ambiguous (12 and 31 give the same as 123 and 1), and NULL where the digits do not fit.
+    Ambiguous: 12 and 31 give the same as 123 and 1.  The job fails where the digits do not fit;
+    a missing part gives NULL.
     """
-    return F.concat(*[p.cast("string") for p in parts]).try_cast("bigint")
+    digits = F.concat(*[p.cast("string") for p in parts])
+    key = digits.try_cast("bigint")
+    wrong = F.raise_error(F.concat(F.lit("no BIGINT key from "), digits))
+    return F.when(digits.isNotNull() & key.isNull(), wrong).otherwise(key)
 
 
 def survey_options(surveys: DataFrame, hashed_keys: bool = False) -> DataFrame:

@@ -83,13 +83,13 @@ UNION_TEXT = ["local_id", "try_parse_publication_date"]
 
 
 def union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feeds in one table, ids with the fixed offset of each feed."""
-    rows = ops.feeds_union(feeds(spark, sf_dir), country_by_page_language, ops.ID_OFFSETS)
+    """The feeds in one table, ids running on from feed to feed."""
+    rows = ops.feeds_union(feeds(spark, sf_dir), country_by_page_language)
     return as_text(rows, *UNION_TEXT)
 
 
 def global_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feeds in one table, ids running on from feed to feed."""
+    """The ids of the stories alone."""
     ids = ops.feeds_union(feeds(spark, sf_dir), country_by_page_language)
     return ids.select("id", "source", "url", "keyword")
 
@@ -216,12 +216,7 @@ _NUMBERED = f"""(SELECT row_number() OVER (ORDER BY
       AS id, * FROM {_ALIGNED} AS a)"""
 
 ORACLES = {
-    "feeds_union": as_text_sql(
-        f"""SELECT row_number() OVER (PARTITION BY source ORDER BY {_BY_URL})
-        + CASE source WHEN 'bbc' THEN 0 WHEN 'cnn' THEN 1500 WHEN 'google' THEN 3000 ELSE 4500 END
-        AS id, * FROM {_ALIGNED} AS a""",
-        *UNION_TEXT,
-    ),
+    "feeds_union": as_text_sql(f"SELECT * FROM {_NUMBERED} AS n", *UNION_TEXT),
     "feed_global_ids": f"SELECT id, source, url, keyword FROM {_NUMBERED} AS n",
     "feed_row_count": f"SELECT count(*) AS n FROM {_STORIES} AS s WHERE source = 'bbc'",
     "feed_invalid_urls": f"""SELECT id AS local_id, source, host AS try_parse_url, url, author,

@@ -37,7 +37,7 @@ def declare(
     @dp.table(
         name=prefix + "bronze_news",
         comment="Article messages as received",
-        table_properties={"quality": "bronze", "pipelines.reset.allowed": "false"},
+        table_properties={"quality": "bronze"},
         partition_cols=["eh_enqueued_date"],
         format="parquet",
     )

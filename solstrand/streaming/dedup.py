@@ -14,7 +14,7 @@ def first_seen(
     event_time: str = "timestamp",
     delay: str = "7 days",
     bounded: bool = False,
-    salts: int | None = None,
+    salts: int = 16,
     spread: Sequence[str | Column] = ("topic", "partition", "offset"),
 ) -> DataFrame:
     """The first row seen of each key.
@@ -26,16 +26,13 @@ def first_seen(
     Deduplication has no map-side part, so all copies of a key meet in one task.  With `salts` > 1
     copies are first removed per key and salt, a hash of the columns in `spread` that differ
     between copies: a key with a third of the rows is worked off by `salts` tasks, and at most
-    `salts` copies within `delay` reach the final step.  By default there are as many salts as it
-    takes to spread such a key over a third of the shuffle partitions.
+    `salts` copies within `delay` reach the final step.
 
     The first step forgets after `delay`.  It costs a second exchange: take `salts=1` where ids
     repeat a few times at most.  A query that has a checkpoint must keep to the choice between 1
     and more.
     """
     rows = stream.withWatermark(event_time, delay)
-    if salts is None:
-        salts = max(16, int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3)
     if salts > 1:
         salt = F.pmod(F.xxhash64(*spread), F.lit(salts))
         rows = (

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 import subprocess
 import sys
 
@@ -63,20 +64,25 @@ def test_the_rule_scorer_needs_no_package_on_the_executors(tmp_path):
     """Unpickled where this package cannot be imported, as on a worker."""
     from pyspark import cloudpickle
 
-    from solstrand.plans.messages import article_scorer
+    from solstrand.plans.messages import python_article_scorer
 
-    scorer = article_scorer()
+    scorer = python_article_scorer()
     udf = next(c.cell_contents for c in scorer.__closure__)
     (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(udf.func))
     script = (
-        "import pickle, sys, pandas as pd\n"
-        "assert not any(p.endswith('repo') for p in sys.path)\n"
+        "import importlib.util, pickle, pandas as pd\n"
+        "assert importlib.util.find_spec('solstrand') is None\n"
         "f = pickle.load(open('f.pkl', 'rb'))\n"
         "out = next(f(iter([pd.Series(['x\\nTitle: a der b und c', None])])))\n"
         "print(out[0], out[1])\n"
     )
     done = subprocess.run(
-        [sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=120
+        [sys.executable, "-I", "-c", script],
+        cwd=tmp_path,
+        env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},
+        capture_output=True,
+        text=True,
+        timeout=120,
     )
     assert '"Berlin"' in done.stdout and done.stdout.strip().endswith("None"), done.stderr
 

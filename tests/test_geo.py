@@ -49,11 +49,11 @@ def test_rollup_equals_brute_force_with_a_hot_cell(spark):
     }
     want: dict = {}
     for i, (x, y) in enumerate(pts):
-        if x is None or abs(x) > 180:
-            continue
+        off = x is None or abs(x) > 180
         for r in range(FINEST + 1):
-            n, s = want.get((r, plain_cell(x, y, r)), (0, 0))
-            want[(r, plain_cell(x, y, r))] = (n + 1, s + i)
+            place = (r, None if off else plain_cell(x, y, r))
+            n, s = want.get(place, (0, 0))
+            want[place] = (n + 1, s + i)
     assert got == want
 
 
@@ -87,9 +87,23 @@ def test_world_drops_cities_without_all_levels(spark):
     assert not [c for c in world.columns if c.startswith("_")]
 
 
-def test_world_is_the_same_without_broadcasts(spark, monkeypatch):
+def test_world_is_the_same_without_broadcasts(spark):
     plain = sorted(map(tuple, geo.world(*levels(spark)).collect()))
-    monkeypatch.setattr(geo, "few_rows", lambda df: False)
-    merged = geo.world(*levels(spark))
-    assert "BroadcastHashJoin" not in merged._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, merged.collect())) == plain
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = geo.world(*levels(spark))
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        # No cell is worked out below an exchange: only coordinates travel.
+        assert "_cell_res_" not in plan[plan.index("Exchange") :]
+        assert sorted(map(tuple, merged.collect())) == plain
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_rows_off_the_globe_stay_in_the_null_cell(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 1), (None, 2.0, 2), (500.0, 2.0, 4)], "x double, y double, v int")
+    rolled = geo.cell_rollup(df, F.col("x"), F.col("y"), F.col("v"))
+    rows = rolled.filter("cell IS NULL").select("resolution", "n", "total").collect()
+    assert sorted(map(tuple, rows)) == [(r, 2, 6) for r in range(16)]

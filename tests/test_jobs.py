@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from solstrand import jobs
 from solstrand.operators.enrich import python_scorer
-from solstrand.operators.feeds import FEED_COLUMNS, FEED_READS
+from solstrand.operators.feeds import FEED_COLUMNS, FEED_READS, ID_OFFSETS
 from solstrand.sinks.tables import annotate_table, use_schema
 from solstrand.streaming.hops import append_to_table
 
@@ -48,7 +48,7 @@ def feeds(spark, n: int):
 
 
 def test_news_table_with_fixed_offsets(spark):
-    jobs.store_news(feeds(spark, 3), F.upper, "all_news")
+    jobs.store_news(feeds(spark, 3), F.upper, "all_news", ID_OFFSETS)
     rows = spark.table("all_news").orderBy("id").collect()
     assert [r["id"] for r in rows] == [b + i for b in (0, 1500, 3000, 4500) for i in (1, 2, 3)]
     assert spark.table("all_news").columns == FEED_COLUMNS
@@ -75,12 +75,12 @@ def test_a_model_is_asked_once_per_story(spark):
     spark.sql("DROP TABLE asked_news")
 
 
-def test_offsets_collide_where_a_feed_outgrows_them(spark):
-    from solstrand.operators.feeds import ID_OFFSETS, feeds_union
+def test_ids_are_unique_and_outgrown_offsets_refused(spark):
+    from solstrand.operators.feeds import feeds_union
 
     many = feeds(spark, 1600)
-    fixed = feeds_union(many, F.upper, ID_OFFSETS)
-    assert fixed.select("id").distinct().count() < fixed.count()
+    with pytest.raises(Exception, match="outgrow"):
+        feeds_union(many, F.upper, ID_OFFSETS).agg(F.max("id")).collect()
     with pytest.raises(ValueError):
         feeds_union(many, F.upper, {"bbc": 0})
     running = feeds_union(many, F.upper)

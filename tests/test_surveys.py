@@ -68,10 +68,13 @@ def test_options(build):
 
 def test_keys(spark):
     df = spark.createDataFrame(
-        [(12, 31), (123, 1), (9223372036854775807, 1), (None, 1)], "a long, b int"
+        [(12, 31), (123, 1), (None, 1), (9223372036854775807, 1)], "a long, b int"
     )
-    digits = [r[0] for r in df.select(surveys.joined_key(F.col("a"), F.col("b"))).collect()]
-    assert digits == [1231, 1231, None, None]
+    key = surveys.joined_key(F.col("a"), F.col("b"))
+    fitting = df.filter("a IS NULL OR a < 1000")
+    assert [r[0] for r in fitting.select(key).collect()] == [1231, 1231, None]
+    with pytest.raises(Exception, match="no BIGINT key"):
+        df.select(key).collect()
     hashed = {r[0] for r in df.select(F.xxhash64("a", "b")).collect()}
     assert len(hashed) == 4
 
