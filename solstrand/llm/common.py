@@ -30,6 +30,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with columns called like one of `names` renamed, and {new name: old name}."""
+    clash = [c for c in df.columns if c.lower() in {n.lower() for n in names}]
+    away = dict(zip(clash, fresh(df, *[f"own_{c}" for c in clash]), strict=True))
+    return df.withColumnsRenamed(away), {new: old for old, new in away.items()}
+
+
 def col(name: str) -> Column:
     """A column by its exact name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")

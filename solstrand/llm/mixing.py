@@ -17,11 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from solstrand.llm.common import col, estimated_tokens, fresh
+from solstrand.llm.common import col, estimated_tokens, fresh, set_aside
 from solstrand.sinks.scratch import written
 
 RANGE_ROWS = 2048
 _WIDE = "decimal(38,0)"
+ADDED = ["domain", "leaf_tokens", "leaf_budget", "doc_tokens", "repeats"]
 #: Share of the whole in thousandths for each domain, and the sources of each; others are `web`.
 DOMAIN_WEIGHTS = {"reference": 300, "code": 200, "web": 500}
 DOMAIN_SOURCES = {
@@ -103,19 +104,17 @@ def leaf_budgets(leaves: DataFrame, budget_permille: int, max_epochs: int) -> Da
     langs = leaves.groupBy("domain", "language").agg(
         F.sum("cap").alias("cap"), F.max("lang_weight").alias("weight")
     )
-    domains = langs.groupBy("domain").agg(F.sum("cap").alias("cap"))
-    weights = leaves.groupBy("domain").agg(F.max("domain_weight").alias("weight"))
-    total = leaves.agg(
-        F.expr(f"least((sum(tokens) * {int(budget_permille)}) div 1000, sum(cap))").alias("total")
+    domains = leaves.groupBy("domain").agg(
+        F.sum("tokens").alias("tokens"), F.sum("cap").alias("cap"), F.max("domain_weight").alias("weight")
     )
-    # One row per domain and one row of totals: a join on a constant, not a product of tables.
-    top = (
-        domains.join(weights, "domain")
-        .withColumn("one", F.lit(1))
-        .join(total.withColumn("one", F.lit(1)), "one")
-        .withColumn("child", F.col("domain"))
+    # The windows over everything hold one row per domain.
+    whole = Window.partitionBy("root")
+    top = domains.withColumns({"root": F.lit(0), "child": F.col("domain")}).withColumns(
+        {"all_tokens": F.sum("tokens").over(whole), "all_cap": F.sum("cap").over(whole)}
     )
-    top = shares(top, ["one"], "total", "domain_budget").select("domain", "domain_budget")
+    wanted = F.expr(f"least((all_tokens * {int(budget_permille)}) div 1000, all_cap)")
+    top = shares(top.withColumn("total", wanted), ["root"], "total", "domain_budget")
+    top = top.select("domain", "domain_budget")
     middle = shares(
         langs.join(top, "domain").withColumn("child", F.col("language")),
         ["domain"],
@@ -149,8 +148,7 @@ def mixed_documents(
     domain_weights = DOMAIN_WEIGHTS if domain_weights is None else domain_weights
     domain_sources = DOMAIN_SOURCES if domain_sources is None else domain_sources
     lang_weights = LANG_WEIGHTS if lang_weights is None else lang_weights
-    added = ["domain", "leaf_tokens", "leaf_budget", "doc_tokens", "repeats"]
-    docs = docs.drop(*added)
+    docs = docs.drop(*ADDED)
     lang, source, tokens, digits = fresh(docs, "lang_", "source_", "tokens_", "text_md5_")
     keyed = docs.withColumns(
         {
@@ -243,6 +241,14 @@ def epochs(mix: DataFrame) -> DataFrame:
     return mix.withColumn("epoch", F.explode(F.sequence(F.lit(0), (F.col("repeats") - 1).cast("int"))))
 
 
+def mixed_copies(docs: DataFrame, **options) -> DataFrame:
+    """The mix as rows of `docs`: each document as often as epochs read it, with its own columns."""
+    working = ["mix_epochs_", "mix_rest_", "mix_order_", "mix_range_", "edge_", "run_"]
+    own, back = set_aside(docs, [*ADDED, "epoch", *working])
+    rows = epochs(mixed_documents(own, **options)).select(*[col(c) for c in own.columns])
+    return rows.withColumnsRenamed(back)
+
+
 def mix_digest(docs: DataFrame, **options) -> DataFrame:
     """The mix without texts."""
     slim = docs.select("doc_id", "lang", "source", "text")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from solstrand.llm.common import col, fresh
+from solstrand.llm.common import col, set_aside
 from solstrand.llm.words import buffers, byte_table, gram_rows, grams, slices, words
 
 #: lower, upper, outside ASCII, digit, blank, line end, marks of prose, other marks, control.
@@ -29,6 +29,8 @@ MIN_WORDS = 50
 #: Of both distances together.
 MAX_DISTANCE = 0.65
 _PARTIAL_WORDS = 1 << 19
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+ADDED = [*COUNTS, "class_distance", "word_distance", "base_failed", "kept"]
 
 
 def _class_of_bytes() -> np.ndarray:
@@ -233,8 +235,7 @@ def judged(docs: DataFrame, refs: list[Reference], text: str = "text") -> DataFr
     MIN_CHARS or MIN_WORDS, or there is no reference.  Existing columns of these names are replaced;
     every row is judged by itself, copies included.
     """
-    ints = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    added = [*ints, "class_distance", "word_distance", "base_failed", "kept"]
+    ints, added = COUNTS, ADDED
     docs = docs.drop(*added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,9 +262,9 @@ def judged(docs: DataFrame, refs: list[Reference], text: str = "text") -> DataFr
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents the rules keep, with their own columns."""
-    (flag,) = fresh(docs, "quality_kept")
-    verdicts = judged(docs, references(docs)).withColumnRenamed("kept", flag)
-    return verdicts.filter(col(flag)).select(*[col(c) for c in docs.columns])
+    own, back = set_aside(docs, ADDED)
+    kept = judged(own, references(docs)).filter("kept").select(*[col(c) for c in own.columns])
+    return kept.withColumnsRenamed(back)
 
 
 def quality_digest(docs: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from solstrand.llm.common import col
+from solstrand.sinks.scratch import written
 
 #: (host, path, verdict); the longest rule that fits wins.
 RULES = [
@@ -26,6 +27,8 @@ RULES = [
 LONG_SUFFIXES = ["co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in"]
 LIMIT = 0.25
 Z = 1.645
+#: The strongest prior, taken where members do not differ.
+MOST_PSEUDO = 1000.0
 
 
 def url_host(url: Column) -> Column:
@@ -58,24 +61,23 @@ def registered_domain(host: Column, long_suffixes: list[str]) -> tuple[Column, C
     return domain, suffix
 
 
-def _strength(members: DataFrame) -> DataFrame:
-    """One row `strength`: pseudo-outcomes of the prior from the members' `bad` of `n`."""
-    rate = F.col("bad") / F.col("n")
-    total = members.agg(F.sum("bad").alias("all_bad"), F.sum("n").alias("all_n"), F.count("*").alias("k"))
-    mean = F.col("all_bad") / F.col("all_n")
-    joined = members.withColumn("one", F.lit(1)).join(total.withColumn("one", F.lit(1)), "one")
-    spread = joined.agg(
-        F.sum(F.col("n") * (rate - mean) * (rate - mean)).alias("ss"),
-        F.sum((F.col("n") * F.col("n")).cast("double")).alias("nn"),
-        F.max("all_n").alias("all_n"),
-        F.max("k").alias("k"),
-        F.max(mean).alias("mean"),
-    )
+def _strength(members: DataFrame) -> float:
+    """Pseudo-outcomes of the prior from the members' `bad` of `n`; two rows reach the driver."""
+    known = members.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"), F.count("*").alias("k")).first()
+    if not known["n"]:
+        return MOST_PSEUDO
+    mean = known["bad"] / known["n"]
+    off = F.col("bad") / F.col("n") - mean
+    spread = members.agg(
+        F.sum(F.col("n") * off * off).alias("ss"), F.sum((F.col("n") * F.col("n")).cast("double")).alias("nn")
+    ).first()
     # Spread within members is what binomial chance gives; the rest is spread between them.
-    chance = F.col("mean") * (1 - F.col("mean"))
-    between = (F.col("ss") - (F.col("k") - 1) * chance) / (F.col("all_n") - F.col("nn") / F.col("all_n"))
-    strength = F.when(between > 0, F.least(F.greatest(chance / between - 1, F.lit(1.0)), F.lit(1000.0)))
-    return spread.select(F.round(F.coalesce(strength, F.lit(1000.0)), 3).alias("strength"))
+    chance = mean * (1 - mean)
+    room = known["n"] - spread["nn"] / known["n"]
+    between = (spread["ss"] - (known["k"] - 1) * chance) / room if room > 0 else 0.0
+    if between <= 0:
+        return MOST_PSEUDO
+    return round(min(max(chance / between - 1, 1.0), MOST_PSEUDO), 3)
 
 
 def host_reputation(outcomes: DataFrame, limit: float, z: float, long_suffixes: list[str]) -> DataFrame:
@@ -86,22 +88,24 @@ def host_reputation(outcomes: DataFrame, limit: float, z: float, long_suffixes:
     """
     hosts = outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
     domain, suffix = registered_domain(F.col("host"), long_suffixes)
-    hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
+    hosts = written(hosts.withColumns({"domain": domain, "suffix": suffix}), "hosts")
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    domains = hosts.groupBy("domain", "suffix").agg(*sums)
+    domains = written(hosts.groupBy("domain", "suffix").agg(*sums), "domains")
     suffixes = domains.groupBy("suffix").agg(*sums)
-    whole = suffixes.agg(*sums).select((F.col("bad") / F.col("n")).alias("prior"))
-    one = lambda df: df.withColumn("one", F.lit(1))
-
-    def shrunk(level: DataFrame, name: str) -> DataFrame:
-        posterior = (F.col("bad") + F.col("strength") * F.col("prior")) / (F.col("n") + F.col("strength"))
-        return one(level).join(one(_strength(level)), "one").withColumn(name, posterior).drop("one")
-
-    top = shrunk(one(suffixes).join(one(whole), "one").drop("one"), "suffix_mean")
-    middle = domains.join(top.select("suffix", F.col("suffix_mean").alias("prior")), "suffix")
-    middle = shrunk(middle, "domain_mean").select("domain", "suffix", F.col("domain_mean").alias("prior"))
-    bottom = shrunk(hosts.join(middle, ["domain", "suffix"]), "posterior")
-    deviation = F.sqrt(F.col("posterior") * (1 - F.col("posterior")) / (F.col("n") + F.col("strength") + 1))
+    whole = suffixes.agg(*sums).first()
+    prior = whole["bad"] / whole["n"] if whole["n"] else 0.0
+
+    def shrunk(level: DataFrame, towards: Column) -> tuple[Column, float]:
+        strength = _strength(level)
+        return (F.col("bad") + strength * towards) / (F.col("n") + strength), strength
+
+    top, _ = shrunk(suffixes, F.lit(prior))
+    middle = domains.join(suffixes.select("suffix", top.alias("prior")), "suffix")
+    mean, _ = shrunk(domains, F.col("prior"))
+    middle = middle.select("domain", "suffix", mean.alias("prior"))
+    posterior, strength = shrunk(hosts, F.col("prior"))
+    bottom = hosts.join(middle, ["domain", "suffix"]).withColumn("posterior", posterior)
+    deviation = F.sqrt(F.col("posterior") * (1 - F.col("posterior")) / (F.col("n") + strength + 1))
     lower = F.greatest(F.col("posterior") - z * deviation, F.lit(0.0))
     return bottom.withColumn("lower", lower).select(
         "host",
