@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from solstrand.llm.common import table
 from solstrand.llm.jaccard import one_of_each
-from solstrand.llm.mixing import epochs, mixed_documents
+from solstrand.llm.mixing import mixed_copies
 from solstrand.llm.packing import packed
 from solstrand.llm.pii import redacted
 from solstrand.llm.quality import kept_documents
@@ -33,8 +33,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the mix, a row for each epoch that reads them."""
-    mix = epochs(mixed_documents(docs))
-    return mix.select(*[f"`{c}`" for c in docs.columns])
+    return mixed_copies(docs)
 
 
 def length_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
