@@ -40,3 +40,12 @@ def test_entry(spark):
     df = spark_entry.entry(spark)
     assert df.columns == spark_entry.entry(spark).columns
     assert df.count() > 0
+
+
+def test_answers_are_not_parsed_for_each_field(spark):
+    from solstrand import plans
+
+    for name in ("survey_rows", "survey_options"):
+        plan = plans.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+        # Message, analysis, news input and answer; no parse for each field used.
+        assert plan.toString().count("from_json(") <= 5, name
