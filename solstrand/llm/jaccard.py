@@ -36,7 +36,7 @@ NUM, DEN = 75, 100
 #: Shingles held back to the end of the order: an ordering hint of bounded size.
 HELD_BACK = 1 << 16
 COMMON_SHARE = 1000
-#: Classes of a run that are looked at together in the first round.
+#: Classes of a run that are looked at together: a task holds at most two such blocks.
 PART = 4096
 FILTER_BITS = 24
 _U = np.uint64
@@ -205,6 +205,41 @@ def _exact_links(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int)
     return written(pairs.join(left, "a").join(right, "b").filter(reaches).select("a", "b"), "links")
 
 
+def _parts(members: DataFrame, num: int, den: int, paired: bool) -> DataFrame:
+    """(run, part, set_id, grp) of the runs with several groups, in parts that fit a task.
+
+    `members` has run, set_id, n, grp.  Not paired, a run is cut by hash into parts of about PART
+    classes.  Paired, it is cut by size into blocks of PART, and every two blocks whose sizes can be
+    similar make a part, so every pair that may link meets in one.  A run of PART or fewer is one part.
+    """
+    by_run = Window.partitionBy("run")
+    counted = members.withColumns(
+        {
+            "low": F.min("grp").over(by_run),
+            "high": F.max("grp").over(by_run),
+            "blocks": F.ceil(F.count("*").over(by_run) / PART),
+        }
+    )
+    if not paired:
+        placed = counted.filter("low <> high").withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
+        return placed.select("run", "part", "set_id", "grp")
+    place = F.row_number().over(by_run.orderBy("n", "set_id")) - 1
+    placed = counted.withColumn("place", place).withColumns(
+        {
+            "block": F.floor(F.col("place") / PART),
+            # The least size of each block; no size exceeds that of the next block.
+            "starts": F.array_sort(F.collect_list(F.when(F.col("place") % PART == 0, F.col("n"))).over(by_run)),
+        }
+    )
+    meets = F.expr(
+        f"""filter(sequence(0L, blocks - 1), b -> b = block
+            OR (b > block AND {den} * n >= {num} * get(starts, int(b)))
+            OR (b < block AND {den} * get(starts, int(b + 1)) >= {num} * n))"""
+    )
+    part = F.transform(meets, lambda b: F.least("block", b) * F.col("blocks") + F.greatest("block", b))
+    return placed.filter("low <> high").select("run", F.explode(part).alias("part"), "set_id", "grp")
+
+
 def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """(id, set_id, n, grp): each document's set, and the group of sets its own is linked with.
 
@@ -244,20 +279,12 @@ def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DE
     known = runs.select("set_id").distinct()
     described = members.filter("prefix IS NOT NULL").select("set_id", "n", "bits")
     bitmaps = written(described.join(known, "set_id", "left_semi").dropDuplicates(["set_id"]), "bitmaps")
-    groups = bitmaps.select("set_id", F.col("set_id").alias("grp"))
+    groups = bitmaps.select("set_id", "n", F.col("set_id").alias("grp"))
     tested = None
-    for parted, final in ((True, False), (False, False), (False, True)):
-        by_run = Window.partitionBy("run")
-        size = F.count("*").over(by_run)
-        part = F.pmod(F.xxhash64("set_id"), F.ceil(size / PART)) if parted else F.lit(0)
-        open_runs = (
-            runs.join(groups, "set_id")
-            .withColumns({"low": F.min("grp").over(by_run), "high": F.max("grp").over(by_run), "part": part})
-            .filter("low <> high")
-            .select("run", "part", "set_id", "grp")
-        )
+    for paired, final in ((False, False), (True, False), (True, True)):
+        open_runs = _parts(runs.join(groups, "set_id"), num, den, paired)
         found = (
-            open_runs.join(bitmaps, "set_id")
+            open_runs.join(bitmaps.select("set_id", "n", "bits"), "set_id")
             .repartition("run", "part")
             .sortWithinPartitions("run", "part")
             .mapInArrow(grouped(["run", "part"], _run_pairs(num, den, final)), "run long, a long, b long")
@@ -279,13 +306,13 @@ def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DE
         roots = components(links.join(of("a"), "a").join(of("b"), "b"), "ga", "gb")
         groups = written(
             groups.join(roots, F.col("grp") == F.col("node"), "left").select(
-                "set_id", F.coalesce("root", "grp").alias("grp")
+                "set_id", "n", F.coalesce("root", "grp").alias("grp")
             ),
             "groups",
         )
     return (
         members.select("id", "set_id", "n")
-        .join(groups, "set_id", "left")
+        .join(groups.drop("n"), "set_id", "left")
         .select("id", "set_id", "n", F.coalesce("grp", "set_id").alias("grp"))
     )
 
