@@ -31,13 +31,19 @@ Z = 1.645
 MOST_PSEUDO = 1000.0
 
 
+def _behind_scheme(url: Column) -> Column:
+    """What follows the first `://`; empty for NULL and without it."""
+    at = F.locate("://", url)
+    return F.coalesce(F.when(at > 0, F.substring(url, at + 3, F.char_length(url))), F.lit(""))
+
+
 def url_host(url: Column) -> Column:
-    raw = F.regexp_extract(url, r"^(?:(?!://)[\s\S])*://([^/?#]*)", 1)
-    return F.translate(F.coalesce(raw, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    raw = F.regexp_extract(_behind_scheme(url), "^[^/?#]*+", 0)
+    return F.translate(raw, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def url_path(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"^(?:(?!://)[\s\S])*://[^/?#]*([^?#]*)", 1), F.lit(""))
+    return F.regexp_extract(_behind_scheme(url), "^[^/?#]*+([^?#]*+)", 1)
 
 
 def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:

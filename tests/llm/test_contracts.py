@@ -6,8 +6,10 @@ from collections import Counter
 
 import pytest
 
-from solstrand.llm import queries
-from solstrand.llm.urls import RULES
+from pyspark.sql import functions as F
+
+from solstrand.llm import jaccard, queries
+from solstrand.llm.urls import RULES, url_host, url_path
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -56,6 +58,31 @@ def test_jaccard(spark, docs):
     assert any(c != d for d, (_, c) in want.items())
 
 
+def test_jaccard_in_many_parts(spark, monkeypatch):
+    """Near copies in chains, far more of them than a part takes, over a range of sizes."""
+    monkeypatch.setattr(jaccard, "PART", 8)
+    rows = []
+    for family in range(3):
+        words = [f"f{family}w{i}" for i in range(90)]
+        for i in range(70):
+            words = words[1:] + [f"f{family}n{i}"] if i % 3 else [*words, f"f{family}n{i}"]
+            rows.append((len(rows), " ".join(words)))
+            rows.append((len(rows), " ".join([*words[: 40 + i // 2], f"only{family}x{i}"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = by_id(jaccard.document_components(df))
+    assert {d: (r.n_shingles, r.component_id) for d, r in got.items()} == brute.components(rows)
+
+
+def test_odd_urls(spark):
+    urls = [
+        None, "", "://", "a://", "http://A.B/c?d#e", "x" * 100000, "http://" + "h\U0001f600" * 20000 + "/p",
+        "//a://b://c/d://e", "http://u#://x/y", "HTTP://É.Com\n/a\nb?c", "a:/b://c",
+    ]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    for r in df.select("url", url_host(F.col("url")).alias("h"), url_path(F.col("url")).alias("p")).collect():
+        assert (r.h, r.p) == brute.host_path(r.url)
+
+
 def test_urls(spark):
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     got = {r.page_id: r for r in result(spark, "op7_host_reputation").collect()}
