@@ -252,7 +252,8 @@ def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DE
         ),
         "sets",
     )
-    tokens = members.filter("prefix IS NOT NULL").select("set_id", "n", F.explode("prefix").alias("token"))
+    described = members.filter("prefix IS NOT NULL").select("set_id", "n", "bits")
+    tokens = members.filter("prefix IS NOT NULL").select("set_id", F.explode("prefix").alias("token"))
     by_token = Window.partitionBy("token")
     in_order = by_token.orderBy("set_id")
     # A run is named by its least member, and runs of one name are looked at as one: copies share
@@ -267,9 +268,11 @@ def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DE
         )
         # Of the copies of a row one borders on another set, if there is one.
         .filter("low <> set_id OR high <> set_id")
-        .select("run", "set_id", "n")
+        .select("run", "set_id")
         .distinct()
     )
+    # Sizes join the few rows that are left here; they do not travel with every shingle.
+    named = named.join(described.groupBy("set_id").agg(F.first("n").alias("n")), "set_id")
     # Similar sets have sizes alike; who is unlike the next smaller and larger in a run is alone there.
     by_size = Window.partitionBy("run").orderBy("n", "set_id")
     near = (den * F.lag("n").over(by_size) >= num * F.col("n")) | (
@@ -277,7 +280,6 @@ def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DE
     )
     runs = written(named.withColumn("near", near).filter("near").select("run", "set_id"), "runs")
     known = runs.select("set_id").distinct()
-    described = members.filter("prefix IS NOT NULL").select("set_id", "n", "bits")
     bitmaps = written(described.join(known, "set_id", "left_semi").dropDuplicates(["set_id"]), "bitmaps")
     groups = bitmaps.select("set_id", "n", F.col("set_id").alias("grp"))
     tested = None
