@@ -93,12 +93,15 @@ def held_back(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _described(k: int, num: int, den: int, last: np.ndarray) -> Callable:
-    """Per document its id, set name and size; bitmap and prefix with the first copy in a task."""
+    """Per document its id, set name and size; bitmap and prefix with the first copy in a task.
+
+    The prefix comes in two parts: its shingles that are held back are `common`.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in slices(batches, "text"):
-            names, sizes, bits, prefixes = [], [], [], []
+            names, sizes, bits, prefixes, common = [], [], [], [], []
             for elements in _sets(batch, k):
                 name = set_name(elements)
                 names.append(name)
@@ -106,15 +109,16 @@ def _described(k: int, num: int, den: int, last: np.ndarray) -> Callable:
                 if name in seen or not len(elements):
                     bits.append(None)
                     prefixes.append(None)
+                    common.append(None)
                     continue
                 seen.add(name)
                 bits.append(signature(elements).tobytes())
                 want = prefix_length(len(elements), num, den)
+                late = np.zeros(len(elements), bool)
                 if len(last):
-                    at = np.minimum(np.searchsorted(last, elements), len(last) - 1)
-                    late = last[at] == elements
-                    elements = np.concatenate([elements[~late], elements[late]])
-                prefixes.append(elements[:want].view(np.int64))
+                    late = last[np.minimum(np.searchsorted(last, elements), len(last) - 1)] == elements
+                prefixes.append(elements[~late][:want].view(np.int64))
+                common.append(elements[late][: want - len(prefixes[-1])].view(np.int64))
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": batch.column("id").cast(pa.int64()),
@@ -122,6 +126,7 @@ def _described(k: int, num: int, den: int, last: np.ndarray) -> Callable:
                     "n": pa.array(sizes, pa.int64()),
                     "bits": pa.array(bits, pa.binary()),
                     "prefix": pa.array(prefixes, pa.list_(pa.int64())),
+                    "common": pa.array(common, pa.list_(pa.int64())),
                 }
             )
 
@@ -240,25 +245,18 @@ def _parts(members: DataFrame, num: int, den: int, paired: bool) -> DataFrame:
     return placed.filter("low <> high").select("run", F.explode(part).alias("part"), "set_id", "grp")
 
 
-def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
-    """(id, set_id, n, grp): each document's set, and the group of sets its own is linked with.
+def _named_runs(first_copies: DataFrame) -> DataFrame:
+    """(run, set_id): the sets that share a prefix shingle, named by the least of them.
 
-    `docs` has `id` (integer or NULL) and `text`; it is read several times, so it must be stored rows.
+    Runs of one name are looked at as one: copies share many shingles, and each class is sent to few
+    runs.  Shingles held back may be in a large part of all sets.  There are at most HELD_BACK of them,
+    so their least sets are found within each task first, and sent to all tasks; the rows of a common
+    shingle never meet in one.
     """
-    last = held_back(docs, k)
-    members = written(
-        docs.select("id", "text").mapInArrow(
-            _described(k, num, den, last), "id long, set_id long, n long, bits binary, prefix array<long>"
-        ),
-        "sets",
-    )
-    described = members.filter("prefix IS NOT NULL").select("set_id", "n", "bits")
-    tokens = members.filter("prefix IS NOT NULL").select("set_id", F.explode("prefix").alias("token"))
+    tokens = first_copies.select("set_id", F.explode("prefix").alias("token"))
     by_token = Window.partitionBy("token")
     in_order = by_token.orderBy("set_id")
-    # A run is named by its least member, and runs of one name are looked at as one: copies share
-    # many shingles, and each class is sent to few runs.
-    named = (
+    rare = (
         tokens.withColumns(
             {
                 "low": F.lag("set_id").over(in_order),
@@ -269,8 +267,29 @@ def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DE
         # Of the copies of a row one borders on another set, if there is one.
         .filter("low <> set_id OR high <> set_id")
         .select("run", "set_id")
-        .distinct()
     )
+    often = first_copies.select("set_id", F.explode("common").alias("token"))
+    least = often.groupBy("token").agg(F.min("set_id").alias("run"), F.max("set_id").alias("most"))
+    common = often.join(F.broadcast(least.filter("run <> most")), "token").select("run", "set_id")
+    return rare.union(common).distinct()
+
+
+def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
+    """(id, set_id, n, grp): each document's set, and the group of sets its own is linked with.
+
+    `docs` has `id` (integer or NULL) and `text`; it is read several times, so it must be stored rows.
+    """
+    last = held_back(docs, k)
+    members = written(
+        docs.select("id", "text").mapInArrow(
+            _described(k, num, den, last),
+            "id long, set_id long, n long, bits binary, prefix array<long>, common array<long>",
+        ),
+        "sets",
+    )
+    first_copies = members.filter("prefix IS NOT NULL")
+    described = first_copies.select("set_id", "n", "bits")
+    named = _named_runs(first_copies)
     # Sizes join the few rows that are left here; they do not travel with every shingle.
     named = named.join(described.groupBy("set_id").agg(F.first("n").alias("n")), "set_id")
     # Similar sets have sizes alike; who is unlike the next smaller and larger in a run is alone there.
