@@ -16,7 +16,7 @@ from solstrand.operators.calendar import (
 from solstrand.operators.feeds import CountryGuess, feeds_union
 from solstrand.operators.frames import drop_void_columns
 from solstrand.operators.geo import world
-from solstrand.sinks.tables import declare_table, insert_by_position, replace_table
+from solstrand.sinks.tables import replace_table, store_declared
 from solstrand.sources.api_pages import articles_of, read_pages
 from solstrand.sources.tables import relational_table
 
@@ -51,12 +51,9 @@ def store_calendar(
         "dates": (CALENDAR_COLUMNS, calendar(spark, as_of=as_of, **period)),
     }
     for table, (columns, rows) in tables.items():
-        declare_table(spark, f"{schema}.{table}", columns)
-        insert_by_position(rows, f"{schema}.{table}")
-    declare_table(spark, f"{schema}.dates_kpi", INDICATOR_COLUMNS)
-    insert_by_position(
-        month_start_indicators(spark.table(f"{schema}.dates")), f"{schema}.dates_kpi"
-    )
+        store_declared(rows, f"{schema}.{table}", columns)
+    indicators = month_start_indicators(spark.table(f"{schema}.dates"))
+    store_declared(indicators, f"{schema}.dates_kpi", INDICATOR_COLUMNS)
 
 
 def store_news(
@@ -69,9 +66,9 @@ def store_news(
     replace_table(feeds_union(feeds, country_guess, id_offsets), table)
 
 
-def store_api_articles(spark: SparkSession, path: str, table: str) -> None:
-    """The articles of all landed pages, replacing table and schema."""
-    replace_table(drop_void_columns(articles_of(read_pages(spark, path))), table)
+def store_api_articles(spark: SparkSession, path: str, table: str, lines: bool = False) -> None:
+    """The articles of all landed pages, replacing table and schema; `lines` as in `read_pages`."""
+    replace_table(drop_void_columns(articles_of(read_pages(spark, path, lines))), table)
 
 
 def world_from_database(

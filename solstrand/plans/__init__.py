@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from solstrand.plans import articles, calendar, feeds, geo, stores, streams
+from solstrand.plans import articles, calendar, feeds, geo, stored, stores, streams
 
-AREAS = (calendar, feeds, geo, articles, streams, stores)
+AREAS = (calendar, feeds, geo, articles, streams, stores, stored)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

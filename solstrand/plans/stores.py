@@ -34,7 +34,7 @@ def partitioned_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clustered_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items written sorted by part; one range of parts read back through the statistics."""
+    """Line items written sorted by part; read back and summed per part."""
     path = scratch_path(spark, "clustered")
     items = table(spark, sf_dir, "lineitem")
     sinks.write_clustered(items, path, "l_partkey")
@@ -119,8 +119,8 @@ def listing_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return share_of(_listings(spark, sf_dir), "widget")
 
 
-def api_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles out of pages: every document is a page, each of its lines an article.
+def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page texts: every document is a page, each of its lines an article.
 
     Only documents with a label state a source and an author.
     """
@@ -148,8 +148,10 @@ def api_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.array("lang").alias("keywords"),
         ),
     )
-    pages = documents.select(F.to_json(F.struct(article.alias("results"))).alias("page"))
-    flat = articles_of(parse_pages(pages, "page"))
+    return documents.select(F.to_json(F.struct(article.alias("results"))).alias("page"))
+
+
+def articles_shown(flat: DataFrame) -> DataFrame:
     rows = flat.select(
         "id",
         "title",
@@ -169,6 +171,11 @@ def api_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(rows, "author_id", "is_duplicate")
 
 
+def api_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles out of page texts."""
+    return articles_shown(articles_of(parse_pages(api_pages(spark, sf_dir), "page")))
+
+
 def without_void(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers with two columns nothing is known of, which are dropped before writing."""
     suppliers = table(spark, sf_dir, "supplier").select("*", F.lit(None).alias("x"))

@@ -28,6 +28,24 @@ def declare_table(spark: SparkSession, name: str, columns: str, fmt: str = "parq
     spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt}")
 
 
+def store_declared(df: DataFrame, name: str, columns: str, fmt: str = "parquet") -> None:
+    """A table of declared columns with the rows of `df`, in place of any table of that name.
+
+    The rows are inserted by position into a table beside it, which takes the name only then: a job
+    that fails leaves the old table as it was.  `df` must not read the table that is replaced.
+    """
+    spark, beside = df.sparkSession, f"{name}__new"
+    declare_table(spark, beside, columns, fmt)
+    insert_by_position(df, beside)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+
+
+def store_view(spark: SparkSession, name: str, query: str) -> None:
+    """A view kept in the catalog, or replaced there; `query` reads stored tables."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+
 def annotate_table(
     spark: SparkSession, name: str, comment: str, properties: Mapping[str, str] | None = None
 ) -> None:

@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from solstrand.sources.schemas import API_ARTICLE_FIELDS, API_PAGE
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page.  Files are read in parallel; a file is one page and may span lines."""
-    return spark.read.schema(API_PAGE).option("multiLine", True).json(path)
+def read_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One row per page.
+
+    A file is one page that may span lines, read whole by one task.  With `lines`, each line is a
+    page, and large files are split between tasks.
+    """
+    return spark.read.schema(API_PAGE).option("multiLine", not lines).json(path)
 
 
 def parse_pages(df: DataFrame, text: Column | str) -> DataFrame:

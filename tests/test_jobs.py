@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from solstrand import jobs
 from solstrand.operators.enrich import python_scorer
 from solstrand.operators.feeds import FEED_COLUMNS, FEED_READS, ID_OFFSETS
-from solstrand.sinks.tables import annotate_table, use_schema
+from solstrand.sinks.tables import annotate_table, store_declared, use_schema
+from solstrand.sources.api_pages import read_pages
 from solstrand.streaming.hops import append_to_table
 
 
@@ -35,6 +36,28 @@ def test_calendar_tables(spark):
     spark.sql("DROP DATABASE time_job CASCADE")
 
 
+def test_a_failing_job_leaves_the_old_table(spark):
+    store_declared(spark.range(3), "kept", "n INT")
+    with pytest.raises(Exception, match="OVERFLOW|out of range"):
+        store_declared(spark.range(1).selectExpr("id + 5000000000L"), "kept", "n INT")
+    assert spark.table("kept").count() == 3
+    store_declared(spark.sql("SELECT 7, 'x'"), "kept", "n INT, word STRING")
+    assert spark.table("kept").collect() == [(7, "x")]
+    spark.sql("DROP TABLE kept")
+
+
+def test_pages_on_lines_give_the_same_articles(spark, tmp_path):
+    pages = [json.dumps({"results": [{"id": i, "title": f"a\nb {i}"}]}) for i in range(3)]
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "p.json").write_text("\n".join(pages))
+    (tmp_path / "files").mkdir()
+    for i, page in enumerate(pages):
+        (tmp_path / "files" / f"{i}.json").write_text(page)
+    by_line = read_pages(spark, str(tmp_path / "lines"), lines=True)
+    by_file = read_pages(spark, str(tmp_path / "files"))
+    assert sorted(map(str, by_line.collect())) == sorted(map(str, by_file.collect()))
+
+
 def feeds(spark, n: int):
     def rows(name):
         return spark.range(n).select(
