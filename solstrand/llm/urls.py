@@ -4,7 +4,8 @@ Labelled page outcomes are counted per host and summed up to the registered doma
 Each level shrinks towards the next: a suffix towards the whole, a domain towards the posterior mean
 of its suffix, a host towards that of its domain.  The strength of a level's prior (its number of
 pseudo-outcomes) is estimated by moments from the spread of bad rates between its members.  A page
-is blocked when even the lower posterior bound of its host's bad rate exceeds the limit.
+is blocked when even the lower posterior bound of its host's bad rate exceeds the limit.  A host
+without labels has the posterior of its domain, else of its suffix, else of the whole, as its own.
 """
 
 from __future__ import annotations
@@ -87,16 +88,19 @@ def _strength(members: DataFrame) -> float:
 
 
 def host_reputation(outcomes: DataFrame, limit: float, z: float, long_suffixes: list[str]) -> DataFrame:
-    """(host, n, bad, posterior, lower, verdict) from labelled `host`, `bad` (0 or 1).
+    """(host, n, bad, posterior, lower, reputation) of every host, from `host` and `bad`.
 
-    Hosts are few against pages: they are counted within each task first, and all levels above are
-    sums of the host counts.
+    `bad` is 0 or 1, or NULL where there is no label; a host with NULLs only has n = 0.  Hosts are few
+    against pages: they are counted within each task first, and all levels above are sums of the host
+    counts.  Hosts without labels take no part in the strengths of the priors.
     """
-    hosts = outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+    counts = [F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")]
+    hosts = outcomes.groupBy("host").agg(*counts)
     domain, suffix = registered_domain(F.col("host"), long_suffixes)
     hosts = written(hosts.withColumns({"domain": domain, "suffix": suffix}), "hosts")
+    seen = hosts.filter("n > 0")
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    domains = written(hosts.groupBy("domain", "suffix").agg(*sums), "domains")
+    domains = written(seen.groupBy("domain", "suffix").agg(*sums), "domains")
     suffixes = domains.groupBy("suffix").agg(*sums)
     whole = suffixes.agg(*sums).first()
     prior = whole["bad"] / whole["n"] if whole["n"] else 0.0
@@ -106,11 +110,14 @@ def host_reputation(outcomes: DataFrame, limit: float, z: float, long_suffixes:
         return (F.col("bad") + strength * towards) / (F.col("n") + strength), strength
 
     top, _ = shrunk(suffixes, F.lit(prior))
-    middle = domains.join(suffixes.select("suffix", top.alias("prior")), "suffix")
-    mean, _ = shrunk(domains, F.col("prior"))
-    middle = middle.select("domain", "suffix", mean.alias("prior"))
-    posterior, strength = shrunk(hosts, F.col("prior"))
-    bottom = hosts.join(middle, ["domain", "suffix"]).withColumn("posterior", posterior)
+    upper = suffixes.select("suffix", top.alias("suffix_mean"))
+    mean, _ = shrunk(domains, F.col("suffix_mean"))
+    middle = domains.join(upper, "suffix").select("domain", "suffix", mean.alias("domain_mean"))
+    known = hosts.join(middle, ["domain", "suffix"], "left").join(upper, "suffix", "left")
+    known = known.withColumn("prior", F.coalesce("domain_mean", "suffix_mean", F.lit(prior)))
+    strength = _strength(seen)
+    posterior = (F.col("bad") + strength * F.col("prior")) / (F.col("n") + strength)
+    bottom = known.withColumn("posterior", posterior)
     deviation = F.sqrt(F.col("posterior") * (1 - F.col("posterior")) / (F.col("n") + strength + 1))
     lower = F.greatest(F.col("posterior") - z * deviation, F.lit(0.0))
     return bottom.withColumn("lower", lower).select(
@@ -134,15 +141,15 @@ def judged_pages(
     """`pages` with `host`, `path`, `rule`, `verdict` and the evidence for their host.
 
     `outcomes` has `page_id` and `bad` (0 or 1) for labelled pages; NULL outcomes do not count.
-    A NULL url or one without `://` has empty host and path; a host without labels is allowed unless
-    a rule blocks it.  Repeated page rows are judged one by one; existing columns are replaced.
+    A NULL url or one without `://` has empty host and path.  A host without labels is judged by the
+    posterior of its domain, suffix or the whole, by the same bound.  Repeated page rows are judged one by one; existing columns are replaced.
     """
     pages = pages.drop("host", "path", "rule", "verdict", "labelled", "labelled_bad", "bad_bound")
     parts = pages.withColumns({"host": url_host(col("url")), "path": url_path(col("url"))})
     rule, says = fitting_rule(F.col("host"), F.col("path"), rules)
     labelled = (
         parts.select(col("page_id").alias("page_id"), "host")
-        .join(outcomes.filter("bad IS NOT NULL").select("page_id", "bad"), "page_id")
+        .join(outcomes.filter("bad IS NOT NULL").select("page_id", "bad"), "page_id", "left")
         .select("host", "bad")
     )
     known = host_reputation(labelled, limit, z, long_suffixes).select(

@@ -151,3 +151,52 @@ def host_path(url: str | None) -> tuple[str, str]:
     host = re.match(r"[^/?#]*", rest).group()
     path = re.match(r"[^?#]*", rest[len(host) :]).group()
     return re.sub("[A-Z]", lambda m: m.group().lower(), host), path
+
+
+def _strength(members: list[tuple[int, int]], most: float) -> float:
+    n, bad = sum(m[0] for m in members), sum(m[1] for m in members)
+    if not n:
+        return most
+    mean = bad / n
+    chance = mean * (1 - mean)
+    room = n - sum(m[0] ** 2 for m in members) / n
+    spread = sum(m[0] * (m[1] / m[0] - mean) ** 2 for m in members)
+    between = (spread - (len(members) - 1) * chance) / room if room > 0 else 0.0
+    return most if between <= 0 else round(min(max(chance / between - 1, 1.0), most), 3)
+
+
+def reputation(
+    rows: list[tuple[str, int | None]], limit: float, z: float, long_suffixes: list[str], most: float
+) -> dict[str, tuple[int, int, float, str]]:
+    """{host: (n, bad, lower bound, verdict)}; a NULL outcome only names its host."""
+
+    def above(host: str) -> tuple[str, str]:
+        if re.fullmatch(r"[0-9.]+(:[0-9]+)?", host):
+            return host, ""
+        labels = host.split(".")
+        k = 2 if ".".join(labels[-2:]) in long_suffixes else 1
+        return ".".join(labels[-k - 1 :]), ".".join(labels[-k:])
+
+    levels: list[dict] = [{}, {}, {}]
+    for host, bad in rows:
+        if bad is not None:
+            for level, name in zip(levels, (host, *above(host)), strict=True):
+                n, b = level.get(name, (0, 0))
+                level[name] = (n + 1, b + bad)
+    n, b = map(sum, zip(*levels[2].values(), strict=True)) if levels[2] else (0, 0)
+    whole = b / n if n else 0.0
+    s_host, s_domain, s_suffix = (_strength(list(x.values()), most) for x in levels)
+
+    def mean(counts: tuple[int, int], strength: float, prior: float) -> float:
+        return (counts[1] + strength * prior) / (counts[0] + strength)
+
+    out = {}
+    for host in {h for h, _ in rows}:
+        domain, suffix = above(host)
+        p = mean(levels[2].get(suffix, (0, 0)), s_suffix, whole)
+        p = mean(levels[1].get(domain, (0, 0)), s_domain, p)
+        counts = levels[0].get(host, (0, 0))
+        p = mean(counts, s_host, p)
+        lower = max(p - z * (p * (1 - p) / (counts[0] + s_host + 1)) ** 0.5, 0.0)
+        out[host] = (*counts, lower, "block" if lower > limit else "allow")
+    return out

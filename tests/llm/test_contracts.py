@@ -9,7 +9,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from solstrand.llm import jaccard, queries
-from solstrand.llm.urls import RULES, url_host, url_path
+from solstrand.llm.urls import (
+    LIMIT,
+    LONG_SUFFIXES,
+    MOST_PSEUDO,
+    RULES,
+    Z,
+    judged_pages,
+    label_outcomes,
+    url_host,
+    url_path,
+)
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -94,6 +104,40 @@ def test_urls(spark):
         assert got[page].verdict in ("allow", "block") and verdict in (None, got[page].verdict)
 
 
+def assert_reputations(pages, outcomes):
+    """Whole rows of judged_pages against the plain version; gives the hosts without labels."""
+    urls, bad = [(r.page_id, r.url) for r in pages.collect()], {r.page_id: r.bad for r in outcomes.collect()}
+    rows = [(brute.host_path(u)[0], bad.get(p)) for p, u in urls]
+    want = brute.reputation(rows, LIMIT, Z, LONG_SUFFIXES, MOST_PSEUDO)
+    got = judged_pages(pages, outcomes).collect()
+    assert sorted(r.page_id for r in got) == sorted(p for p, _ in urls)
+    for r in got:
+        n, b, lower, verdict = want[r.host]
+        _, says = brute.rule(r.host, r.path, RULES)
+        assert (r.labelled, r.labelled_bad, r.verdict) == (n, b, says or verdict), r
+        assert abs(r.bad_bound - lower) < 2e-6, r
+    return {h: v for h, v in want.items() if not v[0]}
+
+
+def test_hosts_without_labels(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    assert assert_reputations(pages, label_outcomes(labels))
+    rows = [(f"{'abcdef'[i % 6]}.bad.net", 1) for i in range(120)]
+    rows += [(f"{'abcdef'[i % 6]}.good.net", 0) for i in range(120)] + [("9.9.9.9", 0), ("x.poor.co.uk", 1)]
+    new = ["new.bad.net", "new.good.net", "other.net", "www.poor.co.uk", "u.v", "8.8.8.8"]
+    hosts = [*rows, *[(h, None) for h in new], (None, None)]
+    pages = [(i, h and f"http://{h}/p") for i, (h, _) in enumerate(hosts)]
+    unlabelled = assert_reputations(
+        spark.createDataFrame(pages, "page_id long, url string"),
+        spark.createDataFrame([(i, b) for i, (_, b) in enumerate(hosts)], "page_id long, bad int"),
+    )
+    assert set(unlabelled) == {*new, ""}
+    assert unlabelled["new.bad.net"][-1] == "block" and unlabelled["new.good.net"][-1] == "allow"
+    none = spark.createDataFrame([], "page_id long, bad int")
+    assert_reputations(spark.createDataFrame(pages, "page_id long, url string"), none)
+
+
 def test_token_ids(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
