@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from solstrand.llm.common import col, estimated_tokens
 from solstrand.llm.sharding import row_numbers
 
+#: Of `estimated_tokens`.
+BYTES_A_TOKEN = 4
+
 
 def optimal_boundaries(histogram: dict[int, int], buckets: int) -> list[int]:
     """Ascending upper bounds, at most `buckets`, with the least padding; [] without lengths.
@@ -52,17 +55,64 @@ def optimal_boundaries(histogram: dict[int, int], buckets: int) -> list[int]:
     return bounds[::-1]
 
 
-def pieces(docs: DataFrame, tokens: Column, context: int) -> DataFrame:
-    """One row per piece with `piece`, `start` (token) and `n_tokens`; no tokens, no piece."""
-    base = docs.drop("piece", "start", "n_tokens").withColumn("all_tokens_", tokens)
-    last = F.floor((F.col("all_tokens_") - 1) / context).cast("int")
-    return (
-        base.filter("all_tokens_ > 0")
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
-        .withColumn("start", (F.col("piece") * F.lit(context).cast("long")).cast("long"))
-        .withColumn("n_tokens", F.least(F.lit(context).cast("long"), F.col("all_tokens_") - F.col("start")))
-        .drop("all_tokens_")
-    )
+def _code_point_start(data: Column, at: Column) -> Column:
+    """The last place not behind `at` where no code point of UTF-8 is cut."""
+
+    def inside(back: int) -> Column:
+        byte = F.hex(F.substring(data, at + (1 - back), F.lit(1)))
+        return (at >= back) & byte.between("80", "BF")
+
+    steps = F.when(inside(2), 3).otherwise(2)
+    return at - F.when(inside(0), F.when(inside(1), steps).otherwise(1)).otherwise(0)
+
+
+def _has_text(docs: DataFrame) -> bool:
+    return any(c.lower() == "text" for c in docs.columns)
+
+
+def pieces(docs: DataFrame, tokens: Column, context: int, token_bytes: Column | None = None) -> DataFrame:
+    """One row per piece with `piece`, `start` (token) and `n_tokens`; no tokens, no piece.
+
+    `text`, where `docs` has it, becomes the piece's own: its tokens' bytes, with both borders moved
+    back to the start of a code point, so the pieces of a document put together are its text.  A token
+    has `token_bytes`; without it each has an equal share of the document's bytes.
+    """
+    base = docs.drop("piece", "start", "n_tokens").withColumn("all_tokens_", tokens).filter("all_tokens_ > 0")
+    names = base.drop("all_tokens_").columns
+    whole = F.col("all_tokens_")
+    last = F.floor((whole - 1) / context).cast("int")
+    wide = F.lit(context).cast("long")
+
+    def cut(data: Column | None) -> Column:
+        """The pieces as structs; `data` is taken from the row once."""
+
+        def border(start: Column) -> Column:
+            size = F.octet_length(data).cast("long")
+            near = start * token_bytes if token_bytes is not None else F.floor(start * size / F.greatest(whole, F.lit(1)))
+            return _code_point_start(data, F.least(near, size).cast("int"))
+
+        def one(i: Column) -> Column:
+            start = i * wide
+            fields = [i.alias("piece"), start.alias("start"), F.least(wide, whole - start).alias("n_tokens")]
+            if data is not None:
+                a = border(start)
+                b = F.when(i < last, border(start + wide)).otherwise(F.octet_length(data))
+                fields.append(F.substring(data, a + 1, b - a).cast("string").alias("text"))
+            return F.struct(*fields)
+
+        return F.transform(F.sequence(F.lit(0), last), one)
+
+    if _has_text(docs):
+        # A one-element array holds the bytes, so that they are copied once for each row.
+        found = F.flatten(F.transform(F.array(col("text").cast("string").cast("binary")), cut))
+    else:
+        found = cut(None)
+    # The whole text goes before the rows are multiplied.  None is empty; the outer form spares the
+    # optimizer's filter for empty ones, which would cut every text a second time.
+    cuts = base.withColumn("found_", found).drop("text", "all_tokens_")
+    out = cuts.withColumn("found_", F.explode_outer("found_"))
+    own = [F.col("found_.text").alias(c) if c.lower() == "text" else col(c) for c in names]
+    return out.select(*own, *[F.col(f"found_.{c}").alias(c) for c in ("piece", "start", "n_tokens")])
 
 
 def packed(
@@ -73,18 +123,21 @@ def packed(
     batch_tokens: int = 65536,
     seed: int = 5,
 ) -> DataFrame:
-    """Pieces of the documents with `bucket`, `bucket_length`, `batch` and `slot`.
+    """Pieces of the documents with their text, `bucket`, `bucket_length`, `batch` and `slot`.
 
     `docs` needs `doc_id`, and `text` unless `tokens` is given (default: UTF-8 bytes / 4, rounded
-    up).  A batch holds the same number of rows as its siblings except for the last of a bucket:
+    up).  `text` is that of the piece, see `pieces`: its four bytes a token, or with `tokens` an equal
+    share of the bytes for each token, so that a piece may differ by 3 bytes for its borders.  A batch holds the same number of rows as its siblings except for the last of a bucket:
     batch_tokens div bucket_length, at least one.  Documents without tokens give no piece.
     Repeated rows are packed one by one; columns of these names are replaced.
     """
+    token_bytes = F.lit(BYTES_A_TOKEN) if tokens is None else None
     tokens = estimated_tokens(col("text")) if tokens is None else tokens
     slim = docs.drop("bucket", "bucket_length", "batch", "slot").withColumn("all_", tokens)
-    cut = pieces(slim.drop("text"), F.col("all_"), context).drop("all_")
-    # At most `context` rows reach the driver.
-    histogram = {r["n_tokens"]: r["n"] for r in cut.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}
+    cut = pieces(slim, F.col("all_"), context, token_bytes).drop("all_")
+    # Lengths need no text.  At most `context` rows reach the driver.
+    lengths = pieces(slim.select("all_"), F.col("all_"), context).groupBy("n_tokens")
+    histogram = {r["n_tokens"]: r["n"] for r in lengths.agg(F.count("*").alias("n")).collect()}
     bounds = optimal_boundaries(histogram, buckets)
     schema_only = {"bucket": "int", "bucket_length": "int", "batch": "long", "slot": "int"}
     if not bounds:
@@ -100,9 +153,10 @@ def packed(
         bucket = F.when(F.col("n_tokens") <= bounds[i], i).otherwise(bucket)
     keyed = cut.withColumn("bucket", bucket.cast("int"))
     order = F.xxhash64(F.lit(seed), col("doc_id"), "piece")
-    numbered = row_numbers(
-        keyed, [F.col("bucket"), order, col("doc_id"), F.col("piece"), F.col("n_tokens")], "number_"
-    )
+    keys = [F.col("bucket"), order, col("doc_id"), F.col("piece"), F.col("n_tokens")]
+    if _has_text(keyed):
+        keys.append(F.xxhash64(col("text")))
+    numbered = row_numbers(keyed, keys, "number_")
     at_bucket = F.col("bucket") + 1
     long_array = lambda xs: F.array(*[F.lit(int(x)).cast("long") for x in xs])
     return (
@@ -116,4 +170,5 @@ def packed(
 
 
 def packing_digest(docs: DataFrame, **options) -> DataFrame:
-    return packed(docs.select("doc_id", "text"), **options)
+    """Where each piece lies; its text is left out only here."""
+    return packed(docs.select("doc_id", "text"), **options).drop("text")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from solstrand.llm import jaccard, queries
+from solstrand.llm.packing import packed
 from solstrand.llm.urls import (
     LIMIT,
     LONG_SUFFIXES,
@@ -194,3 +195,31 @@ def test_packing(spark, docs):
     for rows in batches.values():
         assert len(rows) * rows[0].bucket_length <= max(65536, rows[0].bucket_length)
         assert sorted(r.slot for r in rows) == list(range(len(rows)))
+
+
+def test_packed_pieces_hold_the_text(spark, docs):
+    odd = ["é" * 30, "a\U0001f600" * 40, "x", "\U0001f600é€b" * 25, "", None, "\u20ac" * 64, "z" * 32]
+    rows = [*docs, *[(10**6 + i, t) for i, t in enumerate(odd)], (10**6, "another of the same id, long enough")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counted = F.ceil(F.char_length(F.col("text")) / 3).cast("long")
+    for context, tokens in ((8, None), (2048, None), (7, counted)):
+        texts: dict = {}
+        for r in packed(df, tokens, context=context).collect():
+            size = len(r.text.encode())
+            assert tokens is not None or abs(size - 4 * r.n_tokens) <= 3 + 3 * (r.n_tokens < context), r
+            texts.setdefault(r.doc_id, []).append((r.piece, r.text))
+        whole = {d: [t for e, t in rows if e == d] for d, _ in rows if d != 10**6}
+        got = {d: "".join(t for _, t in sorted(p)) for d, p in texts.items()}
+        assert {d: got.get(d, "") for d in whole} == {d: t[0] or "" for d, t in whole.items()}
+    assert "text" not in result(spark, "op4_length_buckets").columns
+
+
+def test_pipeline_packs_redacted_text(spark):
+    import corpus_pipeline
+
+    prose = " ".join(f"w{i * 7919 % 997}" for i in range(40))
+    df = spark.createDataFrame([(1, f"{prose} mail a.b@c.de", "en", "src0")], "doc_id long, text string, lang string, source string")
+    for _, stage in corpus_pipeline.STAGES[2:]:
+        df = stage(spark, df, "")
+    texts = {r.text for r in df.collect()}
+    assert texts == {f"{prose} mail [EMAIL]"}
