@@ -1,8 +1,10 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
 A sketch keeps every shingle hash below a fixed fraction of the hash range, so its size follows the
-document's, the sketch of a union is the union of sketches, and containment can be estimated between
-a short and a very long document.  All columns are built-in expressions.
+document's, the sketch of a union comes from the sketches, and containment can be estimated between
+a short and a very long document.  The least LEAST hashes are kept beside those, so a document of
+fewer shingles is held whole, and only one without words has an empty sketch.  Two sketches are
+compared up to the hash to which both are complete.  All columns are built-in expressions.
 
 Documents are compared with their successor in descending order of `doc_id`.  One exchange by id
 range brings them together: the first document of a range is also sent to the range before it, so
@@ -20,11 +22,23 @@ from solstrand.sinks.scratch import written
 SHINGLE = 5
 #: One hash in SCALE is kept.
 SCALE = 8
+#: The least hashes are kept whatever their size.
+LEAST = 32
 RANGE_ROWS = 512
 
 
-def sketch(text: Column, k: int = SHINGLE, scale: int = SCALE) -> Column:
-    """Ascending distinct hashes of the k-word shingles below 1 / scale of the range.
+def _bound(scale: int) -> int:
+    """Hashes below are always kept."""
+    return (1 << 63) // scale * 2 - (1 << 63)
+
+
+def _kept(hashes: Column, scale: int, least: int) -> Column:
+    """Of ascending distinct hashes, those below the bound and the first `least`."""
+    return F.filter(hashes, lambda h, i: (h < F.lit(_bound(scale))) | (i < F.lit(least)))
+
+
+def sketch(text: Column, k: int = SHINGLE, scale: int = SCALE, least: int = LEAST) -> Column:
+    """Ascending distinct hashes of the k-word shingles below 1 / scale of the range, or the least.
 
     Fewer words than k are one shingle; no words, NULL or empty text give an empty sketch.
     """
@@ -37,10 +51,9 @@ def sketch(text: Column, k: int = SHINGLE, scale: int = SCALE) -> Column:
             F.array().cast("array<bigint>")
         )
 
-    bound = (1 << 63) // scale * 2 - (1 << 63)
     # A one-element array holds the words, so that the text is split once for each row.
     hashes = F.flatten(F.transform(F.array(parts), shingle))
-    return F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < F.lit(bound))))
+    return _kept(F.sort_array(F.array_distinct(hashes)), scale, least)
 
 
 def printed(hashes: Column) -> Column:
@@ -48,21 +61,40 @@ def printed(hashes: Column) -> Column:
     return F.concat_ws("", F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")))
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity; two empty sketches are alike, an empty and another are not."""
-    both = F.size(F.array_intersect(a, b))
-    either = F.size(a) + F.size(b) - both
-    return F.when(either == 0, F.lit(1.0)).otherwise(both / F.greatest(either, F.lit(1)))
+def _complete_to(hashes: Column, scale: int, least: int) -> Column:
+    """The last hash up to which a sketch misses none of its document's."""
+    top = F.greatest(F.try_element_at(hashes, F.lit(-1)), F.lit(_bound(scale) - 1))
+    return F.when(F.size(hashes) < least, F.lit((1 << 63) - 1)).otherwise(top)
+
+
+def _shared(a: Column, b: Column, scale: int, least: int) -> tuple[Column, Column, Column]:
+    """Sizes of a, of b and of what they share, up to where both are complete."""
+    to = F.least(_complete_to(a, scale, least), _complete_to(b, scale, least))
+    # One-element arrays hold the limit, so that it is found once for each row.
+    within = lambda x: F.flatten(F.transform(F.array(to), lambda t: F.filter(x, lambda h: h <= t)))
+    return F.size(within(a)), F.size(within(b)), F.size(within(F.array_intersect(a, b)))
+
+
+def jaccard(a: Column, b: Column, scale: int = SCALE, least: int = LEAST) -> Column:
+    """Estimated Jaccard similarity, exact where both have fewer shingles than `least`.
+
+    Two empty sketches (no words in either) are alike, an empty and another are not.
+    """
+    of_a, of_b, both = _shared(a, b, scale, least)
+    either = of_a + of_b - both
+    empty = (F.size(a) == 0) & (F.size(b) == 0)
+    return F.when(empty, F.lit(1.0)).otherwise(both / F.greatest(either, F.lit(1)))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Estimated share of a's shingles that b has; NULL for an empty sketch."""
-    return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.greatest(F.size(a), F.lit(1)))
+def containment(a: Column, b: Column, scale: int = SCALE, least: int = LEAST) -> Column:
+    """Estimated share of a's shingles that b has; NULL where a has none up to where b is complete."""
+    of_a, _, both = _shared(a, b, scale, least)
+    return F.when(of_a > 0, both / F.greatest(of_a, F.lit(1)))
 
 
-def merged(a: Column, b: Column) -> Column:
+def merged(a: Column, b: Column, scale: int = SCALE, least: int = LEAST) -> Column:
     """The sketch of both documents together."""
-    return F.array_sort(F.array_union(a, b))
+    return _kept(F.sort_array(F.array_union(a, b)), scale, least)
 
 
 def with_successors(docs: DataFrame, derived: dict[str, Column], range_rows: int = RANGE_ROWS) -> DataFrame:

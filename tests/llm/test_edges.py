@@ -181,3 +181,35 @@ def test_sketches_estimate_containment(spark):
     a, b = fingerprints.sketch(F.col("a")), fingerprints.sketch(F.col("b"))
     row = df.select(fingerprints.containment(b, a), fingerprints.containment(a, b)).first()
     assert row[0] == 1.0 and abs(row[1] - 0.25) < 0.06
+
+
+def test_sketches_of_short_texts(spark):
+    rng = random.Random(4)
+    texts = [" ".join(f"v{rng.randrange(30)}" for _ in range(n)) for n in range(1, 36)] * 2 + ["", " \n", None]
+    texts += [f"{t} tail" for t in texts if t]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprints.fingerprint_digest(df).collect()}
+    sets = {d: brute.shingles(t, lower=False) for d, t in rows}
+    edited = {d: brute.shingles(t, lower=False) for d, t in brute.edited(rows).items()}
+
+    def alike(a, b):
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    for d, _ in rows:
+        assert bool(got[d].fingerprint) == bool(sets[d])
+        after = sets[(d - 1) % len(rows)]
+        if max(len(sets[d]), len(after)) < fingerprints.LEAST:
+            assert abs(got[d].near_next - alike(sets[d], after)) < 1e-12
+        if max(len(sets[d]), len(edited[d])) < fingerprints.LEAST:
+            assert abs(got[d].near_edited - alike(sets[d], edited[d])) < 1e-12
+
+
+def test_sketches_merge_at_all_sizes(spark):
+    sizes = (0, 1, 3, 20, 35, 40, 300, 2000)
+    texts = ["".join(f"a{i} b{i} c{n} d{i} e{i} ; ; ; ; ; " for i in range(n)) for n in sizes]
+    pairs = [(a, b) for a in texts for b in texts]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    one = lambda c: fingerprints.sketch(F.col(c), k=1)
+    whole = fingerprints.sketch(F.concat("a", F.lit(" "), "b"), k=1)
+    assert df.filter(fingerprints.merged(one("a"), one("b")) != whole).count() == 0
