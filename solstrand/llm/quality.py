@@ -3,7 +3,7 @@
 References are learned from all documents: per language, the shares of character classes and of the
 most common words.  A document is compared with the nearest reference by the Jensen-Shannon distance
 (square root of the divergence in bits, 0 to 1) of both histograms, added up.  Documents too short for a
-histogram to mean anything are not judged by it.
+histogram to mean anything are not judged by it, nor are those whose own language has no reference.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from solstrand.llm.common import col, set_aside
+from solstrand.llm.common import col, fresh, set_aside
 from solstrand.llm.words import buffers, byte_table, gram_rows, grams, slices, words
 
 #: lower, upper, outside ASCII, digit, blank, line end, marks of prose, other marks, control.
@@ -228,15 +228,19 @@ def _dup_lines(raw: np.ndarray) -> int:
     return len(lines) - len(set(lines))
 
 
-def judged(docs: DataFrame, refs: list[Reference], text: str = "text") -> DataFrame:
+def judged(docs: DataFrame, refs: list[Reference], text: str = "text", lang: str = "lang") -> DataFrame:
     """`docs` with the base counts, distances, `base_failed` and `kept`; one pass, no exchange.
 
     A NULL or empty text has no words and fails.  Distances are NULL where the text is shorter than
-    MIN_CHARS or MIN_WORDS, or there is no reference.  Existing columns of these names are replaced;
+    MIN_CHARS or MIN_WORDS, or there is no reference of the document's own language (NULL is one of
+    its own); `kept` then follows the base rules alone.  Existing columns of these names are replaced;
     every row is judged by itself, copies included.
     """
     ints, added = COUNTS, ADDED
     docs = docs.drop(*added)
+    (own,) = fresh(docs, "has_reference")
+    known = F.coalesce(col(lang).cast("string"), F.lit("")).isin([ref.lang for ref in refs])
+    marked = docs.withColumn(own, known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
@@ -247,17 +251,20 @@ def judged(docs: DataFrame, refs: list[Reference], text: str = "text") -> DataFr
             failed = (counts["n_words"] < 10) | (100 * counts["n_repeat_words"] > 20 * counts["n_words"])
             kinds = class_counts(raw, bounds)
             by_class, by_word = _distances(found, kinds, refs)
-            judge = (kinds.sum(1) >= MIN_CHARS) & (counts["n_words"] >= MIN_WORDS) & bool(refs)
+            judge = (kinds.sum(1) >= MIN_CHARS) & (counts["n_words"] >= MIN_WORDS)
+            judge &= batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             far = judge & (by_class + by_word > MAX_DISTANCE)
             arrays = [pa.array(counts[c].astype(np.int64)) for c in ints]
             arrays += [pa.array(x, pa.float64(), mask=~judge) for x in (by_class, by_word)]
             arrays += [pa.array(failed), pa.array(~failed & ~far)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *added])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], *arrays], names=[*batch.schema.names[:-1], *added]
+            )
 
     extra = ", ".join(f"{c} long" for c in ints)
     ddl = f"{extra}, class_distance double, word_distance double, base_failed boolean, kept boolean"
     schema = T.StructType([*docs.schema, *T.StructType.fromDDL(ddl)])
-    return docs.mapInArrow(run, schema)
+    return marked.mapInArrow(run, schema)
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:

@@ -213,3 +213,16 @@ def test_sketches_merge_at_all_sizes(spark):
     one = lambda c: fingerprints.sketch(F.col(c), k=1)
     whole = fingerprints.sketch(F.concat("a", F.lit(" "), "b"), k=1)
     assert df.filter(fingerprints.merged(one("a"), one("b")) != whole).count() == 0
+
+
+def test_languages_without_reference_are_not_judged(spark):
+    prose = " ".join(f"word{i % 90}" if i % 3 else f"the{i % 7}" for i in range(400))
+    russian = " ".join(f"\u0441\u043b\u043e\u0432\u043e{i}" for i in range(68))
+    rows = [(i, "en", prose) for i in range(5)] + [(5, "ru", russian), (6, "en", russian), (7, None, russian)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = {r.doc_id: r for r in quality.quality_digest(df).collect()}
+    for d in (5, 7):
+        assert got[d].kept and got[d].class_distance is None and got[d].word_distance is None
+    assert got[6].class_distance + got[6].word_distance > quality.MAX_DISTANCE and not got[6].kept
+    assert got[0].kept and got[0].class_distance is not None
+    assert {r.doc_id for r in quality.kept_documents(df).collect()} == {0, 1, 2, 3, 4, 5, 7}
