@@ -11,6 +11,7 @@ folder: any store Spark writes to will do, and a lost task writes its blocks aga
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import zlib
@@ -119,14 +120,22 @@ class _Encoder:
     opens a new pre-token.  Nor does it merge an ASCII letter with the ASCII mark behind it.  Texts are
     cut at such spaces and marks, each distinct chunk is encoded once
     by the tokenizer, and the texts' ids are put together again.  Where the next byte could start
-    white space outside ASCII the text is not cut.
+    white space outside ASCII the text is not cut.  The literal of an added token (`<|endoftext|>`) in
+    a text is a chunk by itself, since the tokenizer takes such literals out before anything else.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError("an added token that looks at its neighbours cannot be cut out of a text")
+        # The longest of those that begin at the first place wins.
+        names = sorted((t.content.encode() for t in added if t.content), key=len, reverse=True)
+        self.literals = re.compile(b"|".join(map(re.escape, names))) if names else None
+        # A literal with a space could arise between chunks that are put into one text.
+        self.join = not any(b" " in name for name in names)
         self.forget()
 
     def forget(self) -> None:
@@ -137,6 +146,7 @@ class _Encoder:
 
     def _learn(self, at: np.ndarray, codes: np.ndarray, opened: np.ndarray, chunks: list[str]) -> None:
         """Encodes new chunks; those opened by a space in one text, since they meet at cuts anyway."""
+        opened = opened & self.join
         joined, alone = np.flatnonzero(opened), np.flatnonzero(~opened)
         text = "".join([chunks[i] for i in joined.tolist()])
         widths = np.fromiter(map(len, chunks), np.int64, len(chunks))
@@ -170,6 +180,13 @@ class _Encoder:
         by_space = cut.copy()
         cut[1:] |= letter[raw[:-1]] & mark[raw[1:]]
         cut[bounds[:-1][bounds[:-1] < len(raw)]] = True
+        data = raw.tobytes()
+        if self.literals and self.literals.search(data):
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                for found in self.literals.finditer(data, a, b):
+                    cut[found.start() : found.end()] = by_space[found.start() : found.end()] = False
+                    cut[found.start()] = True
+                    cut[found.end() : found.end() + 1] = True
         start = np.flatnonzero(cut)
         cut_by_space = by_space[start]
         end = np.append(start[1:], len(raw))
@@ -182,7 +199,6 @@ class _Encoder:
         inside = at < len(self.known)
         new[inside] = self.known[at[inside]] != unique[inside]
         if new.any():
-            data = raw.tobytes()
             spans = first[new]
             self._learn(
                 at[new],

@@ -226,3 +226,23 @@ def test_languages_without_reference_are_not_judged(spark):
     assert got[6].class_distance + got[6].word_distance > quality.MAX_DISTANCE and not got[6].kept
     assert got[0].kept and got[0].class_distance is not None
     assert {r.doc_id for r in quality.kept_documents(df).collect()} == {0, 1, 2, 3, 4, 5, 7}
+
+
+def test_literals_of_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    end = "<|endoftext|>"
+    texts = [
+        end, f"{end}{end}", f"a{end}b", f"{end} a word", f"a word {end}", f"one  {end}  two", f"x\n{end}\ny",
+        f"don{end}'t", f"<{end}>", "<|endoftext|", "|>", "<|endof text|>", f"caf\u00e9{end}\u00a0\U0001f600", "plain words",
+        f"some words{end} and some words {end}{end} more", "<|endoftext", "|> tail", None, "",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    tokenizer = Tokenizer.from_file(path)
+    start = 0
+    for r in sorted(tokens.document_ids(df, path).collect(), key=lambda r: r.doc_id):
+        ids = [*tokenizer.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 2]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), brute.crc_ids(ids)), texts[r.doc_id]
+        start += len(ids)
