@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from solstrand.llm.alignment import alignment_digest
 from solstrand.llm.common import table
 from solstrand.llm.fingerprints import fingerprint_digest
 from solstrand.llm.jaccard import document_components
@@ -14,11 +15,14 @@ from solstrand.llm.packing import packing_digest
 from solstrand.llm.pii import personal_data_digest
 from solstrand.llm.quality import quality_digest
 from solstrand.llm.sharding import document_shards
+from solstrand.llm.simhash import simhash_components
 from solstrand.llm.suffixes import document_repeats
 from solstrand.llm.tokens import document_ids
 from solstrand.llm.urls import judged_pages, label_outcomes
+from solstrand.llm.whitening import whitening_digest
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _documents(work: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -40,6 +44,16 @@ def _token_ids(docs: DataFrame) -> DataFrame:
     return document_ids(docs, public_tokenizers.path(TOKENIZER))
 
 
+def _alignment(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return alignment_digest(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
+def _whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_digest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_personal_data": _documents(personal_data_digest),
@@ -52,6 +66,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_ids": _documents(_token_ids),
         "op9_quality_rules": _documents(quality_digest),
         "op10_scaled_sketches": _documents(fingerprint_digest),
+        "op11_shifted_cholesky_whitening": _whitening,
+        "op12_token_alignment": _documents(_alignment),
+        "op13_simhash_components": _documents(simhash_components),
     }
 
 
