@@ -24,6 +24,7 @@ import re
 import sys
 import types
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -39,7 +40,9 @@ from solstrand.sinks.scratch import written
 #: Pairs are looked up by broadcast if they hold this part of all links or more.
 COMMON = 1 / (1 << 19)
 # Chunks and bytes of chunks that a task remembers.
-CACHE, CACHE_BYTES = 1 << 18, 1 << 25
+CACHE, CACHE_BYTES = 1 << 19, 1 << 25
+# New chunks that are encoded as one text.
+JOINT = 128
 # What Unicode calls white space, behind a space: there A may go on with a run of blanks.
 _BLANK = re.compile(
     rb"[\x09-\x0D]|\xC2[\x85\xA0]|\xE1\x9A\x80|\xE1\xA0\x8E|\xE2\x80[\x80-\x8A\xA8\xA9\xAF]|\xE2\x81\x9F|\xE3\x80\x80"
@@ -73,7 +76,7 @@ class ByteLevel:
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
         texts = [f" {c}" for c in chunks]
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class Pieces:
@@ -155,6 +158,9 @@ class Aligner:
         for sizes, known in ((self.a_bytes, self.a.bytes), (self.b_bytes, self.b.bytes)):
             for i, entry in known.items():
                 sizes[i] = len(entry)
+        # How a token is written within its group, and as the last one of its side.
+        self.letters = [f"{i}{mark}" for i in range(len(self.a_bytes)) for mark in ",|"]
+        self.letters += [f"{i}{mark}" for i in range(len(self.b_bytes)) for mark in ",;"]
         self.forget()
 
     def forget(self) -> None:
@@ -171,62 +177,104 @@ class Aligner:
         new = sorted(chunks - self.place.keys())
         if not new:
             return
-        texts = [c.decode("utf-8", "replace") for c in new]
+        # Chunks that are cut apart again if they stand side by side are encoded as one text.
+        joint = [c for c in new if c and c[0] != 0x20 and c[-1] != 0x20 and not _BLANK.match(c)]
+        encoded = self._encoded_jointly(joint)
+        if encoded is None:  # none, or the bytes of some differ
+            joint = []
+        alone = sorted(set(new) - set(joint)) if len(joint) < len(new) else []
+        parts = [(joint, *encoded)] if joint else []
+        if alone:
+            parts.append(self._encoded_alone(alone))
+        for names, a, b, chunk_a, chunk_b, same in parts:
+            counts = np.full((len(names), 3), -1, np.int64)
+            sizes = np.zeros(len(names), np.int64)
+            groups = [""] * len(names)
+            pairs = ends = np.zeros(0, np.int64)
+            if len(same):
+                pairs, ends, n_links, n_groups, texts = self._align(a, b, chunk_a)
+                counts[same] = np.stack([np.diff(chunk_a), np.diff(chunk_b), n_groups], 1)
+                sizes[same] = n_links
+                for i, text in zip(same.tolist(), texts, strict=True):
+                    groups[i] = text
+            first = len(self.groups)
+            self.place |= zip(names, range(first, first + len(names)), strict=True)
+            self.size += sum(map(len, names))
+            self.groups += groups
+            self.counts = np.concatenate([self.counts, counts])
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+            self.pairs = np.concatenate([self.pairs, pairs])
+            self.ends = np.concatenate([self.ends, ends])
+
+    def _encoded_jointly(self, chunks: list[bytes]):
+        """All ids of A and of B, each chunk's first ones, and which chunks these are: all of them.
+
+        None if there are no chunks, or a tokenizer changes the bytes of any.
+        """
+        if not chunks:
+            return None
+        want = b" " + b" ".join(chunks)
+        texts = [
+            b" ".join(chunks[i : i + JOINT]).decode("utf-8", "replace") for i in range(0, len(chunks), JOINT)
+        ]
+        a, b = (list(chain.from_iterable(side.encode(texts))) for side in (self.a, self.b))
+        edges = np.concatenate([[0], np.cumsum([len(c) + 1 for c in chunks])])
+        out = []
+        for ids, known, sizes in ((a, self.a.bytes, self.a_bytes), (b, self.b.bytes, self.b_bytes)):
+            if b"".join(map(known.__getitem__, ids)) != want:
+                return None
+            ids = np.array(ids, np.int64)
+            out.append((ids, np.searchsorted(np.cumsum(sizes[ids]), edges, "right")))
+        (a, chunk_a), (b, chunk_b) = out
+        return a, b, chunk_a, chunk_b, np.arange(len(chunks))
+
+    def _encoded_alone(self, chunks: list[bytes]):
+        """The same for each chunk by itself; of those whose bytes differ only their number is known."""
+        texts = [c.decode("utf-8", "replace") for c in chunks]
         a_ids, b_ids = self.a.encode(texts), self.b.encode(texts)
-        counts = np.full((len(new), 3), -1, np.int64)
         same = []
-        for i, (chunk, a, b) in enumerate(zip(new, a_ids, b_ids, strict=True)):
+        for i, (chunk, a, b) in enumerate(zip(chunks, a_ids, b_ids, strict=True)):
             want = b" " + chunk
             if b"".join(map(self.a.bytes.__getitem__, a)) == want == b"".join(map(self.b.bytes.__getitem__, b)):
                 same.append(i)
-                counts[i, :2] = len(a), len(b)
-        sizes = np.zeros(len(new), np.int64)
-        groups = [""] * len(new)
-        pairs = ends = np.zeros(0, np.int64)
-        if same:
-            pairs, ends, of_chunk = self._align([a_ids[i] for i in same], [b_ids[i] for i in same])
-            sizes[same] = np.diff(np.append(of_chunk[0], len(pairs)))
-            counts[same, 2] = of_chunk[1]
-            for i, text in zip(same, of_chunk[2], strict=True):
-                groups[i] = text
-        self.place |= {c: len(self.groups) + i for i, c in enumerate(new)}
-        self.size += sum(map(len, new))
-        self.groups += groups
-        self.counts = np.concatenate([self.counts, counts])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-        self.pairs = np.concatenate([self.pairs, pairs])
-        self.ends = np.concatenate([self.ends, ends])
-
-    def _align(self, a_ids: list[list[int]], b_ids: list[list[int]]):
-        """Links and their ends within their chunk; per chunk its first link, groups and their text."""
-        a = np.array([i for ids in a_ids for i in ids], np.int64)
-        b = np.array([i for ids in b_ids for i in ids], np.int64)
+        out = [chunks]
+        for ids in (a_ids, b_ids):
+            out.append(np.array([x for i in same for x in ids[i]], np.int64))
+        for ids in (a_ids, b_ids):
+            out.append(np.concatenate([[0], np.cumsum([len(ids[i]) for i in same])]).astype(np.int64))
+        return (*out, np.array(same, np.int64))
+
+    def _align(self, a: np.ndarray, b: np.ndarray, chunk_a: np.ndarray):
+        """Links, their ends within their chunk, links and groups of each chunk, and the groups' text.
+
+        `a` and `b` are the ids of many chunks in order, `chunk_a` the first one of each chunk in `a`.
+        """
+        n = len(a)
         a_end, b_end = np.cumsum(self.a_bytes[a]), np.cumsum(self.b_bytes[b])
         label = last_of_group(a_end, b_end)
         # A group's tokens follow one another on either side.
-        a_first = np.flatnonzero(np.diff(label[: len(a)], prepend=-1))
-        b_first = np.flatnonzero(np.diff(label[len(a) :], prepend=-1))
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        a_cut, b_cut = [*a_first.tolist(), len(a)], [*b_first.tolist(), len(b)]
-        groups = [
-            ",".join(a_text[p:q]) + "|" + ",".join(b_text[r:s])
-            for p, q, r, s in zip(a_cut[:-1], a_cut[1:], b_cut[:-1], b_cut[1:], strict=True)
-        ]
-        chunk_a = np.concatenate([[0], np.cumsum([len(ids) for ids in a_ids])])
-        chunk_g = np.searchsorted(a_first, chunk_a)
-        texts = [
-            ";".join(groups[p:q]) for p, q in zip(chunk_g[:-1].tolist(), chunk_g[1:].tolist(), strict=True)
-        ]
+        a_opens, b_opens = (np.diff(x, prepend=-1) != 0 for x in (label[:n], label[n:]))
+        a_group, b_group = np.cumsum(a_opens) - 1, np.cumsum(b_opens) - 1
+        # Tokens as they are written: of each group A's, then B's.
+        place = np.concatenate([2 * a_group, 2 * b_group + 1])
+        order = np.argsort(place, kind="stable")
+        closes = np.append(np.concatenate([a_opens[1:], [True], b_opens[1:]]), True)
+        written_as = (np.concatenate([a, b + len(self.a_bytes)]) * 2 + closes)[order].tolist()
+        pieces = list(map(self.letters.__getitem__, written_as))
+        chunk_g = np.append(a_group[chunk_a[:-1]], a_group[-1] + 1)
+        cut = np.searchsorted(place[order], 2 * chunk_g).tolist()
+        texts = ["".join(pieces[p:q])[:-1] for p, q in zip(cut[:-1], cut[1:], strict=True)]
         # Links: tokens of either side that end together.
         both = np.intersect1d(a_end, b_end, assume_unique=True)
         linked_a, linked_b = np.searchsorted(a_end, both), np.searchsorted(b_end, both)
         edge = np.concatenate([[0], a_end[chunk_a[1:] - 1]])
-        first_link = np.searchsorted(both, edge[:-1], "right")
-        of = np.searchsorted(first_link, np.arange(len(both)), "right") - 1
+        n_links = np.diff(np.searchsorted(both, edge, "right"))
         return (
             (a[linked_a] << 32) | b[linked_b],
-            both - edge[of],
-            (first_link, np.diff(chunk_g), texts),
+            both - np.repeat(edge[:-1], n_links),
+            n_links,
+            np.diff(chunk_g),
+            texts,
         )
 
     def links(self, found: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -259,12 +307,12 @@ class _Text:
         self.offset = 0
 
     def add(self, aligner: Aligner, chunks: list[bytes]) -> None:
-        found = np.array([aligner.place[c] for c in chunks], np.int64)
+        found = np.fromiter(map(aligner.place.__getitem__, chunks), np.int64, len(chunks))
         counts = aligner.counts[found]
         if not self.whole or (counts[:, 0] < 0).any():
             self.whole = False
             return
-        text = ";".join([aligner.groups[i] for i in found.tolist()])
+        text = ";".join(map(aligner.groups.__getitem__, found.tolist()))
         if self.counts[2]:
             self.sha.update(b";")
         self.sha.update(text.encode())
