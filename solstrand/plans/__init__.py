@@ -6,9 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from solstrand.plans import articles, calendar, feeds, geo, stored, stores, streams
-
-AREAS = (calendar, feeds, geo, articles, streams, stores, stored)
+from solstrand.plans import (
+    articles,
+    behaviour,
+    calendar,
+    feeds,
+    geo,
+    stored,
+    stores,
+    streams,
+    supply,
+)
+
+AREAS = (calendar, feeds, geo, articles, streams, stores, stored, behaviour, supply)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
