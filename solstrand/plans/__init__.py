@@ -10,15 +10,17 @@ from solstrand.plans import (
     articles,
     behaviour,
     calendar,
+    customers,
     feeds,
     geo,
+    live,
     stored,
     stores,
     streams,
     supply,
 )
 
-AREAS = (calendar, feeds, geo, articles, streams, stores, stored, behaviour, supply)
+AREAS = (calendar, feeds, geo, articles, streams, stores, stored, behaviour, supply, live, customers)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
