@@ -15,7 +15,7 @@ from solstrand.sources.tables import table
 GONE_AFTER = 180
 LEAST_SHARE = 200  # a set of brands counts from one in so many baskets on
 EDITS = 2
-THRESHOLD = 15.0
+THRESHOLD = 13.5
 FIELDS = (
     resolution.Field("name", 0.95, typos=1),
     resolution.Field("nation", 0.98),
