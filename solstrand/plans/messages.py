@@ -117,15 +117,18 @@ def article_scorer() -> Scorer:
     def answer(prompt: Column) -> Column:
         start = F.instr(prompt, "\nTitle: ") + len("\nTitle: ")
         article = F.when(F.instr(prompt, "\nTitle: ") > 0, F.substring(prompt, start, F.length(prompt)))
-        hits = [(_times(article, p[1]) + _times(article, p[2])) for p in PLACES]
-        most = F.greatest(*hits)
-        # Without any marker word only the summary can be told.
-        chosen = F.lit(None)
-        for place, hit in reversed(list(zip(PLACES, hits))):
-            chosen = F.when((hit == most) & (most > 0), F.lit(place[0])).otherwise(chosen)
-        known = F.struct(chosen.alias("k"), F.substring_index(article, "\n", 1).alias("title"))
-        # The lambda's variable stands for the text's facts, worked out once.
-        return F.get(F.transform(F.array(known), _place_json), F.lit(0))
+        hits = F.array(*[_times(article, p[1]) + _times(article, p[2]) for p in PLACES])
+        counted = F.struct(hits.alias("hits"), F.substring_index(article, "\n", 1).alias("title"))
+
+        def chosen(facts: Column) -> Column:
+            most = F.array_max(facts["hits"])
+            first = F.array_position(facts["hits"], most).cast("int")
+            # Without any marker word only the summary can be told.
+            name = F.when(most > 0, F.get(F.array(*[F.lit(p[0]) for p in PLACES]), first - 1))
+            return F.struct(name.alias("k"), facts["title"].alias("title"))
+
+        # The lambdas' variables stand for the text's counts and facts, worked out once.
+        return F.get(F.transform(F.transform(F.array(counted), chosen), _place_json), F.lit(0))
 
     return lambda prompt: F.when(prompt.isNotNull(), answer(prompt))
 
