@@ -357,11 +357,11 @@ def document_components(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The first document of each component, with all columns; documents without words all stay.
 
-    Rows are told apart by their place in the stored input, so repeated rows and repeated ids
-    leave one row, too.
+    Rows are told apart by a number that is stored with them once, so it does not change with the files'
+    layout or the executors at hand; repeated rows and repeated ids leave one row, too.
     """
     (place,) = fresh(docs, "place")
-    placed = docs.withColumn(place, F.monotonically_increasing_id())
+    placed = written(docs.withColumn(place, F.monotonically_increasing_id()), "placed")
     linked = linked_sets(placed.select(col(place).alias("id"), col("text").alias("text")))
     first = linked.filter("n > 0").groupBy("grp").agg(F.min("id").alias("first"))
     gone = linked.filter("n > 0").join(first, "grp").filter("id <> first").select(col("id").alias(place))

@@ -359,10 +359,10 @@ def redacted(docs: DataFrame, target: float = TARGET_PRECISION) -> DataFrame:
     """`docs` with every span replaced by its kind in brackets, as in [EMAIL].
 
     Overlapping spans become one, named after the first.  Texts without candidates are not
-    exchanged at all; `docs` must be stored rows, as rows are told apart by their place.
+    exchanged at all.  Rows are told apart by a number that is stored with them once.
     """
     (row,) = fresh(docs, "row")
-    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    placed = written(docs.withColumn(row, F.monotonically_increasing_id()), "placed")
     maybe = _may_hold(col("text"))
     spans = written(
         candidates(placed.filter(maybe).select(col(row).alias("r"), F.lit(0).alias("doc_id"), col("text").alias("text")), "r"),

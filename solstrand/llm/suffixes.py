@@ -210,7 +210,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 def document_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, start_word, end_word, n_words) of every repeated passage of `docs`."""
     (place,) = fresh(docs, "place")
-    placed = docs.withColumn(place, F.monotonically_increasing_id())
+    placed = docs.select(F.monotonically_increasing_id().alias(place), col("doc_id").alias("doc_id"), col("text").alias("text"))
+    placed = written(placed, "placed")
     found = repeated_passages(placed.select(col(place).alias("doc"), col("text").alias("text")))
     ids = placed.select(col(place).alias("doc"), col("doc_id").alias("doc_id"))
     return found.join(ids, "doc").select(

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from solstrand.llm.common import col
-from solstrand.llm.words import SLICE, _powers, _BYTE_BASE, buffers, byte_table, mixed, slices
+from solstrand.llm.words import buffers, byte_table, slices, span_hashes
 from solstrand.sinks.scratch import scratch_path
 
 CHUNK = 8
@@ -190,7 +190,7 @@ class _Encoder:
         start = np.flatnonzero(cut)
         cut_by_space = by_space[start]
         end = np.append(start[1:], len(raw))
-        codes = self._codes(raw, start, end)
+        codes = span_hashes(raw, start, end)
         unique, first, which = np.unique(codes, return_index=True, return_inverse=True)
         if len(self.known) > CACHE:
             self.forget()
@@ -212,23 +212,6 @@ class _Encoder:
         source = np.arange(total[-1]) + np.repeat(self.starts[place] - total[:-1], size)
         return self.ids[source], total[np.searchsorted(start, bounds)]
 
-    @staticmethod
-    def _codes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        spread = mixed(np.arange(1, 257, dtype=_U) * _U(_BYTE_BASE))
-        back = pow(_BYTE_BASE, -1, 1 << 64)
-        out = np.empty(len(start), _U)
-        at = 0
-        while at < len(start):  # about SLICE bytes at a time
-            to = max(at + 1, int(np.searchsorted(start, start[at] + SLICE)))
-            a, b = int(start[at]), int(end[to - 1])
-            total = np.zeros(b - a + 1, _U)
-            np.cumsum(spread[raw[a:b]] * _powers(_BYTE_BASE, b - a)[: b - a], out=total[1:])
-            s, e = start[at:to] - a, end[at:to] - a
-            # The length keeps a chunk apart from another with the same sum.
-            out[at:to] = mixed((total[e] - total[s]) * _powers(back, b - a + 1)[s] + (e - s).astype(_U))
-            at = to
-        return out
-
 
 def _worker_encoder(path: str) -> _Encoder:
     """The encoder of this Python worker process: chunks it has met serve its later tasks too."""

@@ -7,6 +7,7 @@ a longer text in pieces of that size cut between words, so memory per byte stays
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -15,9 +16,10 @@ import pyarrow as pa
 
 SLICE = 1 << 20
 _U = np.uint64
-# Odd multipliers of the polynomial hashes over bytes and over words.
-_BYTE_BASE = 0x9E3779B97F4A7C15
+# Odd multiplier of the polynomial hash over the few words of a shingle.
 _WORD_BASE = 0xD1342543DE82EF95
+# Longer spans of bytes are hashed one by one.
+_LONG = 256
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -40,6 +42,30 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _POWERS[base]
 
 
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of bytes.
+
+    Eight bytes at a time go into the state and through a bijection, so parts of a span cannot be
+    swapped without a trace, as they can in sums of powers modulo 2^64.
+    """
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[: len(raw)] = raw
+    lanes = np.ndarray((len(raw) + 1,), "<u8", padded.data, 0, (1,))  # eight bytes from each byte on
+    kept = np.array([(1 << 8 * n) - 1 for n in range(9)], _U)
+    left = np.asarray(end - start, np.int64)
+    out = mixed(left.astype(_U) + _U(_WORD_BASE))
+    alive = np.flatnonzero(left <= _LONG)
+    at, left_alive = start[alive], left[alive]
+    while len(alive):
+        out[alive] = mixed(out[alive] ^ (lanes[at] & kept[np.minimum(left_alive, 8)]))
+        more = left_alive > 8
+        alive, at, left_alive = alive[more], at[more] + 8, left_alive[more] - 8
+    for i in np.flatnonzero(left > _LONG).tolist():
+        whole = hashlib.blake2b(raw[start[i] : end[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(whole, "little")
+    return out
+
+
 def byte_table(hit: bytes) -> np.ndarray:
     out = np.zeros(256, bool)
     out[list(hit)] = True
@@ -107,8 +133,6 @@ def _pieces(raw: np.ndarray, bounds: np.ndarray, gap: np.ndarray) -> Iterator[tu
 
 def words(raw: np.ndarray, bounds: np.ndarray, lower: bool = False) -> Words:
     gap, fold = _separators(), _lower()
-    spread = mixed(np.arange(1, 257, dtype=_U) * _U(_BYTE_BASE))
-    back = pow(_BYTE_BASE, -1, 1 << 64)
     codes, starts, ends = [], [], []
     for a, b in _pieces(raw, bounds, gap):
         part = fold[raw[a:b]] if lower else raw[a:b]
@@ -121,9 +145,7 @@ def words(raw: np.ndarray, bounds: np.ndarray, lower: bool = False) -> Words:
         after[-1:] = inside[-1:]
         after[:-1] = inside[:-1] & (~inside[1:] | begin[1:])
         s, e = np.flatnonzero(begin), np.flatnonzero(after) + 1
-        total = np.zeros(b - a + 1, _U)
-        np.cumsum(spread[part] * _powers(_BYTE_BASE, b - a)[: b - a], out=total[1:])
-        codes.append(mixed((total[e] - total[s]) * _powers(back, b - a + 1)[s]))
+        codes.append(span_hashes(part, s, e))
         starts.append(s + a)
         ends.append(e + a)
     if not codes:
