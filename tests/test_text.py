@@ -1,23 +1,31 @@
 from __future__ import annotations
 
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
 from solstrand.functions import text
 
 ADDRESSES = [
-    "a@b.co", "a@b", None, "a@b.co\n", "a@b.co\r\n", "a@b.co\n\n", " a@b.co", "A.b+c%d@x-y.org",
-    "a@b.c", "a@@b.co", "", "é@b.co", "a@b.co extra",
-]
-
-
-def test_email_equals_the_python_rule(spark):
-    pattern = re.compile(r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$")
-    df = spark.createDataFrame([(i, a) for i, a in enumerate(ADDRESSES)], "i int, a string")
+    ("a@b.co", True),
+    ("A.b+c%d@x-y.org", True),
+    ("a@b.co\n", True),  # one final newline is let through
+    ("a@b.co\n\n", False),
+    ("a@b.co\r\n", False),
+    ("a@b", False),
+    ("a@b.c", False),
+    ("a@@b.co", False),
+    (" a@b.co", False),
+    ("a@b.co extra", False),
+    ("é@b.co", False),
+    ("", False),
+    (None, False),
+]
+
+
+def test_email_addresses(spark):
+    df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(ADDRESSES)], "i int, a string")
     got = {r["i"]: r["ok"] for r in df.select("i", text.is_email(F.col("a")).alias("ok")).collect()}
-    assert got == {i: a is not None and pattern.match(a) is not None for i, a in enumerate(ADDRESSES)}
+    assert got == {i: ok for i, (_, ok) in enumerate(ADDRESSES)}
 
 
 @pytest.mark.parametrize(
