@@ -49,7 +49,7 @@ STAGES = [
     ("length packing", length_packing),
 ]
 
-#: Shingle hashes and boosted trees have no SQL form; tests compare with brute force.
+#: Shingle hashes and boosted trees have no SQL form; tests look at single stages and odd rows.
 ORACLE_SQL = None
 
 
