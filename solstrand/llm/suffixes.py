@@ -2,15 +2,16 @@
 
 Suffixes are retained at minimisers only: of every WINDOW consecutive grams of GRAM words, the one
 with the least hash.  Content selects them, so a passage that stands in two texts retains the same
-suffixes in both.  Suffixes are sorted by the hash of their first STEM words; equal neighbours from
-different documents match.  A passage of MIN_WORDS = STEM + WINDOW - 1 words or more holds at least
-one whole matching stem, whatever it lies between, and stems at most WINDOW words apart.  The stems
-of a document that touch make a run; its first and last one are extended left and right, word by
-word, as far as the neighbour that agrees longest, found by sorting the suffixes of that stem by their
-left and by their right words.  Runs of MIN_WORDS words or more are reported.
-
-A stem shared by a third of all documents is counted within each task first; its rows are only ever
-streamed in order, never held together.
+suffixes in both.  Suffixes meet by the hash of their first STEM words.  A window of MIN_WORDS =
+STEM + WINDOW - 1 words holds at least one whole matching stem, whatever it lies between, so all its
+other words are among the WINDOW - 1 words left and right of that stem.  Matches are extended by
+these: for each number of words to the left, suffixes that agree in so many words before the stem and
+in the rest of a window behind it are neighbours, and the window repeats if they are of different rows.
+
+One order of the suffixes is not enough.  Neighbours by their left or by their right words alone may
+be different documents, and a suffix at the edge of a passage need not be retained in both texts.
+
+A stem or context shared by a third of all documents is counted within each task first.
 """
 
 from __future__ import annotations
@@ -72,10 +73,11 @@ def _stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _suffixes(flags: np.ndarray) -> Callable:
-    """(stem, doc, at, before, behind) of the suffixes whose stem passes the filter.
+    """(stem, doc, at, before, behind, least, most) of the suffixes whose stem passes the filter.
 
     `before` and `behind` hold WINDOW word hashes next to the stem, nearest first, four bytes each;
-    0 stands beyond the end of the text.
+    0 stands beyond the end of the text.  Windows of MIN_WORDS words that hold the stem start `least`
+    to `most` words before it, as far as the text goes; none if `least` is above.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,6 +102,8 @@ def _suffixes(flags: np.ndarray) -> Callable:
                     "stem": pa.array(stem.view(np.int64)),
                     "doc": batch.column("doc").take(pa.array(row)),
                     "at": pa.array(place - found.first[row]),
+                    "least": pa.array(np.maximum(WINDOW - 1 - (last[:, 0] - place - STEM), 0).astype(np.int32)),
+                    "most": pa.array(np.minimum(place - first[:, 0], WINDOW - 1).astype(np.int32)),
                     "before": pa.FixedSizeBinaryArray.from_buffers(
                         width, len(row), [None, pa.py_buffer(before.tobytes())]
                     ).cast(pa.binary()),
@@ -112,42 +116,8 @@ def _suffixes(flags: np.ndarray) -> Callable:
     return run
 
 
-def _agreeing(side: str) -> Callable:
-    """(doc, at, words): how far each suffix agrees with the nearer of its neighbours in order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row, whose next neighbour is still to come, and what it agreed on
-
-        def facts(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-            words_ = np.frombuffer(b"".join(batch.column(side).to_pylist()), ">u4").reshape(-1, WINDOW)
-            return tuple(batch.column(c).to_numpy() for c in ("stem", "doc", "at")) + (words_,)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            stem, doc, at, near = facts(batch)
-            agreed = np.zeros(len(stem), np.int64)
-            if held is not None:
-                stem, doc, at = (np.append(x, y) for x, y in zip(held[:3], (stem, doc, at), strict=True))
-                near, agreed = np.vstack([held[3], near]), np.append(held[4], agreed)
-            same = (near[1:] == near[:-1]) & (near[1:] != 0)
-            both = np.where(stem[1:] == stem[:-1], np.cumprod(same, axis=1).sum(1), 0)
-            agreed[1:] = np.maximum(agreed[1:], both)
-            agreed[:-1] = np.maximum(agreed[:-1], both)
-            held = (stem[-1:], doc[-1:], at[-1:], near[-1:], agreed[-1:])
-            yield _rows(doc[:-1], at[:-1], agreed[:-1])
-        if held is not None:
-            yield _rows(held[1], held[2], held[4])
-
-    return run
-
-
-def _rows(doc: np.ndarray, at: np.ndarray, agreed: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"doc": pa.array(doc), "at": pa.array(at), "words": pa.array(agreed)})
-
-
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """(doc, start, stop): passages, in word numbers, that stand in another document, too.
+    """(doc, start, stop): passages, in word numbers, each MIN_WORDS words of which stand in another row, too.
 
     `docs` has `doc`, a number of its own for each row, and `text`; stored rows, as it is read twice.
     Texts without words or NULL have none; two rows with the same text repeat each other whole.
@@ -163,47 +133,55 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     )
     flags = hash_flags(shared, "stem", FILTER_BITS)
     suffixes = docs.select("doc", "text").mapInArrow(
-        _suffixes(flags), "stem long, doc long, at long, before binary, behind binary"
+        _suffixes(flags), "stem long, doc long, at long, least int, most int, before binary, behind binary"
     )
     # The filter lets a few others through; the join is exact.
     suffixes = written(suffixes.join(shared, "stem", "left_semi"), "suffixes")
-    in_text = Window.partitionBy("doc").orderBy("at")
-    apart = F.col("at") > F.coalesce(F.lag("at").over(in_text), F.col("at") - STEM - 1) + STEM
-    runs = (
-        suffixes.select("doc", "at", "stem")
-        .withColumn("opens", apart.cast("int"))
-        .withColumn("run", F.sum("opens").over(in_text))
-        .groupBy("doc", "run")
-        .agg(
-            F.min("at").alias("first"),
-            F.max("at").alias("last"),
-            F.min_by("stem", "at").alias("first_stem"),
-            F.max_by("stem", "at").alias("last_stem"),
-        )
-    )
-    runs = written(runs, "runs")
-
-    def extended(side: str, stem: str, edge: str, out: str) -> DataFrame:
-        """How far the suffixes of the stems at the runs' edges agree with a neighbour."""
-        edges = runs.select(F.col(stem).alias("stem")).distinct()
-        return (
-            suffixes.select("stem", "doc", "at", side)
-            .join(edges, "stem", "left_semi")
-            .repartition("stem")
-            .sortWithinPartitions("stem", side, "doc", "at")
-            .mapInArrow(_agreeing(side), "doc long, at long, words long")
-            .select("doc", F.col("at").alias(edge), F.col("words").alias(out))
-        )
+    return _stretches(suffixes)
+
+
+def _stretches(suffixes: DataFrame) -> DataFrame:
+    """(doc, start, stop) of the longest stretches whose windows of MIN_WORDS words are in other rows, too.
 
+    Suffixes that agree in stem and in all words next to it have one context.  Where a context stands in
+    two rows, all its windows do.  Only the windows of the others, and of contexts that share a stem with
+    them, are compared one by one.  Contexts are counted within each task before they travel.
+    """
+    named = suffixes.withColumn("context", F.xxhash64("stem", "before", "behind")).filter("least <= most")
+    facts = [F.first(c).alias(c) for c in ("stem", "before", "behind", "least", "most")]
+    contexts = named.groupBy("context").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), *facts)
+    contexts = written(contexts, "contexts")
+    lone = contexts.filter("low = high")
+    back = F.col("back")
+    key = F.xxhash64(
+        "stem",
+        "back",
+        F.substring("before", F.lit(1), 4 * back),
+        F.substring("behind", F.lit(1), 4 * (WINDOW - 1 - back)),
+    )
+    peers = contexts.join(lone.select("stem").distinct(), "stem", "left_semi")
+    windows = peers.withColumn("back", F.explode(F.sequence("least", "most"))).withColumn("window", key)
+    elsewhere = (
+        windows.groupBy("window")
+        .agg(F.min("low").alias("first"), F.max("high").alias("last"))
+        .filter("first <> last")
+        .select("window")
+    )
+    found = windows.filter("low = high").select("window", "context", "back").join(elsewhere, "window", "left_semi")
+    spans = found.select("context", F.col("back").alias("least"), F.col("back").alias("most")).unionByName(
+        contexts.filter("low <> high").select("context", "least", "most")
+    )
+    placed = named.select("context", "doc", "at").join(spans, "context")
+    starts = placed.select("doc", (F.col("at") - F.col("most")).alias("a"), (F.col("at") - F.col("least")).alias("b"))
+    in_text = Window.partitionBy("doc").orderBy("a", "b")
+    reached = F.max("b").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("a") > reached + 1, F.lit(True)).cast("int")
     return (
-        runs.join(extended("before", "first_stem", "first", "more_left"), ["doc", "first"])
-        .join(extended("behind", "last_stem", "last", "more_right"), ["doc", "last"])
-        .select(
-            "doc",
-            (F.col("first") - F.col("more_left")).alias("start"),
-            (F.col("last") + STEM + F.col("more_right")).alias("stop"),
-        )
-        .filter(F.col("stop") - F.col("start") >= MIN_WORDS)
+        starts.withColumn("opens", opens)
+        .withColumn("stretch", F.sum("opens").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("doc", "stretch")
+        .agg(F.min("a").alias("start"), (F.max("b") + MIN_WORDS).alias("stop"))
+        .drop("stretch")
     )
 
 

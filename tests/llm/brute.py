@@ -138,6 +138,26 @@ def repeats(rows: list[tuple[int, str | None]], least: int) -> set[tuple[int, in
     return out
 
 
+def stretches(rows: list[tuple[int, str | None]], least: int) -> list[tuple[int, int, int]]:
+    """(doc, start, stop) of the longest stretches whose windows of `least` words another document has."""
+    lists = {d: word_list(t) for d, t in rows}
+    holders: dict = {}
+    for d, w in lists.items():
+        for i in range(len(w) - least + 1):
+            holders.setdefault(tuple(w[i : i + least]), set()).add(d)
+    out = []
+    for d, w in lists.items():
+        open_at = None
+        for i in range(max(len(w) - least + 1, 0) + 1):
+            here = i + least <= len(w) and len(holders[tuple(w[i : i + least])]) > 1
+            if here and open_at is None:
+                open_at = i
+            elif not here and open_at is not None:
+                out.append((d, open_at, i - 1 + least))
+                open_at = None
+    return sorted(out)
+
+
 def rule(host: str, path: str, rules: list[tuple[str, str, str]]) -> tuple[str | None, str | None]:
     fits = [r for r in rules if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
     best = max(fits, key=lambda r: len(r[0] + r[1]), default=None)

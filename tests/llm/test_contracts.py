@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
 
 from pyspark.sql import functions as F
 
-from solstrand.llm import jaccard, queries
+from solstrand.llm import jaccard, queries, suffixes
 from solstrand.llm.packing import packed
 from solstrand.llm.urls import (
     LIMIT,
@@ -177,9 +178,47 @@ def test_fingerprints(spark, docs):
 def test_repeats(spark, docs):
     got = result(spark, "op5_repeated_passages").collect()
     words = {(r.doc_id, i) for r in got for i in range(r.start_word, r.end_word)}
-    assert brute.repeats(docs, 50) <= words
-    assert words <= brute.repeats(docs, 36)
+    assert words == brute.repeats(docs, 50)
     assert all(r.n_words >= 50 for r in got) and got
+    assert sorted((r.doc_id, r.start_word, r.end_word) for r in got) == brute.stretches(docs, 50)
+
+
+def test_passages_made_of_two_documents(spark):
+    """Words 0 to 48 of a text in one document and 31 to 79 in another are no passage of 50 words."""
+    rows, want = [], []
+    for case in range(12):
+        word = lambda i, c=case: f"c{c}w{i * 7919 % 1009}"
+        whole = [word(i) for i in range(80)]
+        shared = 49 if case < 9 else 50 + case
+        parts = [whole, [*whole[:shared], *map(word, range(200, 230))], [*map(word, range(300, 340)), *whole[-shared:]]]
+        rows += [(case * 3 + i, " ".join(p)) for i, p in enumerate(parts)]
+    rows += [(100, " ".join(["again"] * 300)), (101, " ".join(["again"] * 120)), (102, None), (103, "")]
+    want = brute.stretches(rows, 50)
+    got = suffixes.document_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.start_word, r.end_word) for r in got.collect()) == want
+    assert {d for d, _, _ in want} == {*range(27, 36), 100, 101}
+
+
+def test_passages_under_other_layouts(spark):
+    """Copies, overlaps and edits of the same passages, in one task or in many."""
+    rng = random.Random(3)
+    base = [[f"w{rng.randrange(4000)}" for _ in range(160)] for _ in range(6)]
+    rows = []
+    for i in range(90):
+        text = []
+        for _ in range(rng.randrange(1, 5)):
+            passage = rng.choice(base)
+            a = rng.randrange(0, 110)
+            piece = passage[a : a + rng.randrange(30, 120)]
+            if rng.random() < 0.4:
+                piece[rng.randrange(len(piece))] = f"edit{i}"
+            text += piece + [f"own{i}x{j}" for j in range(rng.randrange(0, 4))]
+        rows.append((i, " ".join(text)))
+    want = brute.stretches(rows, 50)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for layout in (df.coalesce(1), df.repartition(7)):
+        got = suffixes.document_repeats(layout).collect()
+        assert sorted((r.doc_id, r.start_word, r.end_word) for r in got) == want
 
 
 def test_packing(spark, docs):
