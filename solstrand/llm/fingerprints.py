@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from solstrand.llm.common import SEPARATORS, col
+from solstrand.llm.common import SEPARATORS, col, fresh
 from solstrand.sinks.scratch import written
 
 SHINGLE = 5
@@ -104,46 +104,47 @@ def with_successors(docs: DataFrame, derived: dict[str, Column], range_rows: int
     last; rows with equal ids are ordered by a hash of the text, and equal rows are interchangeable.
     Ids decide the ranges, about `range_rows` rows each where ids are spread evenly.
     """
+    key_, tie_, range_, lent_, to_, wraps_ = fresh(docs, "key_", "tie_", "range_", "lent_", "to_", "wraps_")
     key = F.coalesce(col("doc_id").cast("long"), F.lit(-(1 << 62)))
-    keyed = docs.withColumns({"key_": key, "tie_": F.xxhash64(col("text"))})
+    keyed = docs.withColumns({key_: key, tie_: F.xxhash64(col("text"))})
     known = docs.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("doc_id").alias("n")).first()
     if known["n"]:
         width = max(1, (known["b"] - known["a"] + 1) * range_rows // known["n"])
-        bucket = F.expr(f"(key_ - {known['a']}L) div {width}L")
+        bucket = F.expr(f"(`{key_}` - {known['a']}L) div {width}L")
     else:
         bucket = F.lit(0)
     # Ids missing: ranges of their own below all others, by their hash from high to low.
-    no_id = (-1 - F.shiftright(F.lit((1 << 62) - 1) - F.shiftright("tie_", 1), 55)).cast("long")
-    keyed = keyed.withColumn("range_", F.when(F.col("key_") == -(1 << 62), no_id).otherwise(bucket))
+    no_id = (-1 - F.shiftright(F.lit((1 << 62) - 1) - F.shiftright(tie_, 1), 55)).cast("long")
+    keyed = keyed.withColumn(range_, F.when(col(key_) == -(1 << 62), no_id).otherwise(bucket))
     # The first row of each range, and the range before it that needs it; one row a range.
-    first = keyed.groupBy("range_").agg(F.max(F.struct("key_", "tie_")).alias("head"))
+    first = keyed.groupBy(range_).agg(F.max(F.struct(col(key_).alias("key"), col(tie_).alias("tie"))).alias("head"))
     first = written(first, "heads")
-    order = Window.orderBy(F.desc("range_"))
-    ends = first.agg(F.max("range_").alias("top"), F.min("range_").alias("low")).first()
+    order = Window.orderBy(F.desc(range_))
+    ends = first.agg(F.max(range_).alias("top"), F.min(range_).alias("low")).first()
     if ends["top"] is None:
         empty = docs.withColumns(derived).withColumn("next_text", col("text"))
         return empty.withColumns({f"next_{c}": col(c) for c in derived})
     heads = first.select(
-        F.col("head.key_").alias("key_"),
-        F.col("head.tie_").alias("tie_"),
-        F.coalesce(F.lag("range_").over(order), F.lit(ends["low"])).alias("to_"),
-        F.lag("range_").over(order).isNull().alias("wraps_"),
+        F.col("head.key").alias(key_),
+        F.col("head.tie").alias(tie_),
+        F.coalesce(F.lag(range_).over(order), F.lit(ends["low"])).alias(to_),
+        F.lag(range_).over(order).isNull().alias(wraps_),
     )
-    lent = keyed.join(heads, ["key_", "tie_"]).select(
+    lent = keyed.join(heads, [key_, tie_]).select(
         *[col(c) for c in docs.columns],
-        "key_",
-        "tie_",
-        F.col("to_").alias("range_"),
-        F.when(F.col("wraps_"), 2).otherwise(1).alias("lent_"),
+        key_,
+        tie_,
+        col(to_).alias(range_),
+        F.when(col(wraps_), 2).otherwise(1).alias(lent_),
     )
-    own = keyed.select(*[col(c) for c in docs.columns], "key_", "tie_", "range_", F.lit(0).alias("lent_"))
-    following = Window.partitionBy("range_").orderBy("lent_", F.desc("key_"), F.desc("tie_"))
+    own = keyed.select(*[col(c) for c in docs.columns], key_, tie_, range_, F.lit(0).alias(lent_))
+    following = Window.partitionBy(range_).orderBy(lent_, F.desc(key_), F.desc(tie_))
     return (
         own.unionByName(lent)
         .withColumns(derived)
         .withColumns({f"next_{c}": F.lead(col(c)).over(following) for c in ["text", *derived]})
-        .filter("lent_ = 0")
-        .drop("key_", "tie_", "range_", "lent_")
+        .filter(col(lent_) == 0)
+        .drop(key_, tie_, range_, lent_)
     )
 
 

@@ -150,6 +150,9 @@ def mixed_documents(
     lang_weights = LANG_WEIGHTS if lang_weights is None else lang_weights
     docs = docs.drop(*ADDED)
     lang, source, tokens, digits = fresh(docs, "lang_", "source_", "tokens_", "text_md5_")
+    full, rest, order, span, edge, run = fresh(
+        docs, "mix_epochs_", "mix_rest_", "mix_order_", "mix_range_", "edge_", "run_"
+    )
     keyed = docs.withColumns(
         {
             lang: F.coalesce(col("lang"), F.lit("")),
@@ -184,51 +187,52 @@ def mixed_documents(
         F.col("leaf").alias(source),
         F.col("tokens").alias("leaf_tokens"),
         F.col("budget").alias("leaf_budget"),
-        F.col("epochs").alias("mix_epochs_"),
-        F.col("rest").alias("mix_rest_"),
+        F.col("epochs").alias(full),
+        F.col("rest").alias(rest),
     )
     ids = F.coalesce(col("doc_id").cast("string"), F.lit(""))
 
     def ordered(plan: DataFrame) -> DataFrame:
         """Leaf facts on each document, and its order hash in the leaf's broken epoch."""
-        number = F.col("mix_epochs_").cast("string")
+        number = col(full).cast("string")
         return (
             keyed.join(plan, leaf)
-            .withColumn("mix_order_", F.md5(F.concat_ws(":", F.lit(str(seed)), number, ids).cast("binary")))
-            .withColumn("mix_range_", F.substring("mix_order_", 1, width))
+            .withColumn(order, F.md5(F.concat_ws(":", F.lit(str(seed)), number, ids, digits).cast("binary")))
+            .withColumn(span, F.substring(order, 1, width))
         )
 
-    earlier = Window.partitionBy(*leaf).orderBy("mix_range_").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*leaf).orderBy(span).rowsBetween(Window.unboundedPreceding, -1)
     # Of each leaf, the one range in which its prefix ends: all before are in, all after are out.
     edges = (
         ordered(budgets)
-        .groupBy(*leaf, "mix_range_")
-        .agg(F.sum(tokens).alias("sum_"), F.max("mix_rest_").alias("rest_"))
+        .groupBy(*leaf, span)
+        .agg(F.sum(tokens).alias("sum_"), F.max(rest).alias("rest_"))
         .withColumn("before_", F.coalesce(F.sum("sum_").over(earlier), F.lit(0)))
         .filter("before_ + sum_ >= rest_")
         .groupBy(*leaf)
-        .agg(F.min(F.struct("mix_range_", "before_")).alias("edge_"))
+        .agg(F.min(F.struct(col(span).alias("span"), "before_")).alias(edge))
     )
     plan = written(budgets.join(edges, leaf), "mix")
     placed = ordered(plan)
+    last = col(edge).getField("span")
     final = [*[col(c) for c in docs.columns], col("domain"), col("leaf_tokens"), col("leaf_budget")]
-    taken = F.when(F.col("mix_range_") < F.col("edge_.mix_range_"), 1).otherwise(0)
-    whole = placed.filter("mix_range_ <> edge_.mix_range_").select(
-        *final, col(tokens).alias("doc_tokens"), (F.col("mix_epochs_") + taken).cast("long").alias("repeats")
+    taken = F.when(col(span) < last, 1).otherwise(0)
+    whole = placed.filter(col(span) != last).select(
+        *final, col(tokens).alias("doc_tokens"), (col(full) + taken).cast("long").alias("repeats")
     )
     inside = (
         Window.partitionBy(*leaf)
-        .orderBy("mix_order_", digits)
+        .orderBy(order, digits)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    run = F.col("edge_.before_") + F.coalesce(F.sum(tokens).over(inside), F.lit(0))
+    before = col(edge).getField("before_") + F.coalesce(F.sum(tokens).over(inside), F.lit(0))
     cut = (
-        placed.filter("mix_range_ = edge_.mix_range_")
-        .withColumn("run_", run)
+        placed.filter(col(span) == last)
+        .withColumn(run, before)
         .select(
             *final,
             col(tokens).alias("doc_tokens"),
-            (F.col("mix_epochs_") + F.when(F.col("run_") < F.col("mix_rest_"), 1).otherwise(0))
+            (col(full) + F.when(col(run) < col(rest), 1).otherwise(0))
             .cast("long")
             .alias("repeats"),
         )
@@ -243,8 +247,7 @@ def epochs(mix: DataFrame) -> DataFrame:
 
 def mixed_copies(docs: DataFrame, **options) -> DataFrame:
     """The mix as rows of `docs`: each document as often as epochs read it, with its own columns."""
-    working = ["mix_epochs_", "mix_rest_", "mix_order_", "mix_range_", "edge_", "run_"]
-    own, back = set_aside(docs, [*ADDED, "epoch", *working])
+    own, back = set_aside(docs, [*ADDED, "epoch"])
     rows = epochs(mixed_documents(own, **options)).select(*[col(c) for c in own.columns])
     return rows.withColumnsRenamed(back)
 

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from solstrand.llm.common import col, estimated_tokens
+from solstrand.llm.common import col, estimated_tokens, fresh
 from solstrand.llm.sharding import row_numbers
 
 #: Of `estimated_tokens`.
@@ -77,9 +77,11 @@ def pieces(docs: DataFrame, tokens: Column, context: int, token_bytes: Column |
     back to the start of a code point, so the pieces of a document put together are its text.  A token
     has `token_bytes`; without it each has an equal share of the document's bytes.
     """
-    base = docs.drop("piece", "start", "n_tokens").withColumn("all_tokens_", tokens).filter("all_tokens_ > 0")
-    names = base.drop("all_tokens_").columns
-    whole = F.col("all_tokens_")
+    docs = docs.drop("piece", "start", "n_tokens")
+    names = docs.columns
+    counted, found_in = fresh(docs, "all_tokens_", "found_")
+    whole = col(counted)
+    base = docs.withColumn(counted, tokens).filter(whole > 0)
     last = F.floor((whole - 1) / context).cast("int")
     wide = F.lit(context).cast("long")
 
@@ -109,10 +111,11 @@ def pieces(docs: DataFrame, tokens: Column, context: int, token_bytes: Column |
         found = cut(None)
     # The whole text goes before the rows are multiplied.  None is empty; the outer form spares the
     # optimizer's filter for empty ones, which would cut every text a second time.
-    cuts = base.withColumn("found_", found).drop("text", "all_tokens_")
-    out = cuts.withColumn("found_", F.explode_outer("found_"))
-    own = [F.col("found_.text").alias(c) if c.lower() == "text" else col(c) for c in names]
-    return out.select(*own, *[F.col(f"found_.{c}").alias(c) for c in ("piece", "start", "n_tokens")])
+    cuts = base.withColumn(found_in, found).drop("text", counted)
+    out = cuts.withColumn(found_in, F.explode_outer(found_in))
+    piece = lambda c: col(found_in).getField(c).alias(c)
+    own = [piece("text").alias(c) if c.lower() == "text" else col(c) for c in names]
+    return out.select(*own, *[piece(c) for c in ("piece", "start", "n_tokens")])
 
 
 def packed(
@@ -133,10 +136,12 @@ def packed(
     """
     token_bytes = F.lit(BYTES_A_TOKEN) if tokens is None else None
     tokens = estimated_tokens(col("text")) if tokens is None else tokens
-    slim = docs.drop("bucket", "bucket_length", "batch", "slot").withColumn("all_", tokens)
-    cut = pieces(slim, F.col("all_"), context, token_bytes).drop("all_")
+    docs = docs.drop("bucket", "bucket_length", "batch", "slot")
+    counted, number, rows_each, place = fresh(docs, "all_", "number_", "per_", "place_")
+    slim = docs.withColumn(counted, tokens)
+    cut = pieces(slim, col(counted), context, token_bytes).drop(counted)
     # Lengths need no text.  At most `context` rows reach the driver.
-    lengths = pieces(slim.select("all_"), F.col("all_"), context).groupBy("n_tokens")
+    lengths = pieces(slim.select(counted), col(counted), context).groupBy("n_tokens")
     histogram = {r["n_tokens"]: r["n"] for r in lengths.agg(F.count("*").alias("n")).collect()}
     bounds = optimal_boundaries(histogram, buckets)
     schema_only = {"bucket": "int", "bucket_length": "int", "batch": "long", "slot": "int"}
@@ -156,16 +161,16 @@ def packed(
     keys = [F.col("bucket"), order, col("doc_id"), F.col("piece"), F.col("n_tokens")]
     if _has_text(keyed):
         keys.append(F.xxhash64(col("text")))
-    numbered = row_numbers(keyed, keys, "number_")
+    numbered = row_numbers(keyed, keys, number)
     at_bucket = F.col("bucket") + 1
     long_array = lambda xs: F.array(*[F.lit(int(x)).cast("long") for x in xs])
     return (
         numbered.withColumn("bucket_length", F.element_at(long_array(bounds), at_bucket).cast("int"))
-        .withColumn("per_", F.greatest(F.floor(F.lit(batch_tokens) / F.col("bucket_length")), F.lit(1)))
-        .withColumn("place_", F.col("number_") - F.element_at(long_array(rows_before), at_bucket))
-        .withColumn("batch", F.floor(F.col("place_") / F.col("per_")).cast("long"))
-        .withColumn("slot", (F.col("place_") % F.col("per_")).cast("int"))
-        .drop("number_", "per_", "place_")
+        .withColumn(rows_each, F.greatest(F.floor(F.lit(batch_tokens) / F.col("bucket_length")), F.lit(1)))
+        .withColumn(place, col(number) - F.element_at(long_array(rows_before), at_bucket))
+        .withColumn("batch", F.floor(col(place) / col(rows_each)).cast("long"))
+        .withColumn("slot", (col(place) % col(rows_each)).cast("int"))
+        .drop(number, rows_each, place)
     )
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from solstrand.llm.common import col
+from solstrand.llm.common import col, fresh
 from solstrand.sinks.scratch import written
 
 #: (host, path, verdict); the longest rule that fits wins.
@@ -152,17 +152,20 @@ def judged_pages(
         .join(outcomes.filter("bad IS NOT NULL").select("page_id", "bad"), "page_id", "left")
         .select("host", "bad")
     )
+    # The evidence travels as one column under a name that `pages` does not have.
+    (found,) = fresh(parts, "known_")
     known = host_reputation(labelled, limit, z, long_suffixes).select(
-        F.col("host").alias("host_"), "n", "bad", "lower", "reputation"
+        "host", F.struct("n", "bad", "lower", "reputation").alias(found)
     )
-    joined = parts.join(known, F.col("host") == F.col("host_"), "left")
+    of = col(found).getField
+    joined = parts.join(known, "host", "left")
     return joined.withColumns(
         {
             "rule": rule,
-            "verdict": F.coalesce(says, F.col("reputation"), F.lit("allow")),
-            "labelled": F.coalesce(F.col("n"), F.lit(0)),
-            "labelled_bad": F.coalesce(F.col("bad"), F.lit(0)).cast("long"),
-            "bad_bound": F.round("lower", 6),
+            "verdict": F.coalesce(says, of("reputation"), F.lit("allow")),
+            "labelled": F.coalesce(of("n"), F.lit(0)),
+            "labelled_bad": F.coalesce(of("bad"), F.lit(0)).cast("long"),
+            "bad_bound": F.round(of("lower"), 6),
         }
     ).select(*[col(c) for c in pages.columns], "host", "path", "rule", "verdict", "labelled", "labelled_bad", "bad_bound")
 

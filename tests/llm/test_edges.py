@@ -246,3 +246,26 @@ def test_literals_of_added_tokens(spark):
         ids = [*tokenizer.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 2]
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), brute.crc_ids(ids)), texts[r.doc_id]
         start += len(ids)
+
+
+def test_own_columns_called_like_working_ones(spark):
+    """Every working name as a column of the input: same results as without, own values kept."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source")
+
+    def compared(work, plain, names, ids):
+        crowded = plain.withColumns({n: F.lit(f"own {n}") for n in names})
+        want, got = work(plain), work(crowded)
+        shared = sorted(want.columns)
+        assert sorted(map(str, got.select(shared).collect())) == sorted(map(str, want.select(shared).collect()))
+        assert got.select(names).distinct().collect() == [tuple(f"own {n}" for n in names)], ids
+
+    mix = ["lang_", "source_", "tokens_", "text_md5_", "mix_epochs_", "mix_rest_", "mix_order_", "mix_range_"]
+    compared(mixing.mixed_documents, docs, [*mix, "edge_", "run_", "sum_", "rest_", "before_", "span"], "op3")
+    pack = ["all_", "all_tokens_", "found_", "number_", "per_", "place_", "spread_", "slot_"]
+    compared(packing.packed, docs, pack, "op4")
+    near = ["key_", "tie_", "range_", "lent_", "to_", "wraps_", "head"]
+    compared(lambda d: fingerprints.with_successors(d, {}), docs.drop("lang", "source"), near, "op10")
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url")
+    outcomes = urls.label_outcomes(spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    facts = ["n", "bad", "lower", "reputation", "host_", "known_", "posterior", "prior", "domain", "suffix"]
+    compared(lambda d: urls.judged_pages(d, outcomes), pages, facts, "op7")
