@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from solstrand.llm.common import col, fresh, set_aside
 from solstrand.llm.words import buffers, byte_table, gram_rows, grams, slices, words
+from solstrand.sinks.scratch import written
 
 #: lower, upper, outside ASCII, digit, blank, line end, marks of prose, other marks, control.
 CLASSES = 9
@@ -120,21 +121,20 @@ def references(docs: DataFrame, common: int = COMMON_WORDS) -> list[Reference]:
         .groupBy("lang", "is_class", "key")
         .agg(F.sum("n").alias("n"))
     )
-    # Ranks only among words of at least a ten-thousandth of their language: few rows a language.
-    whole = counts.groupBy("lang", "is_class").agg(F.sum("n").alias("total"))
-    rank = F.row_number().over(Window.partitionBy("lang", "is_class").orderBy(F.desc("n"), "key"))
-    top = (
-        counts.join(whole, ["lang", "is_class"])
-        .filter(F.col("is_class") | (F.col("n") * 10_000 >= F.col("total")))
-        .withColumn("rank", rank)
-        .filter(F.col("is_class") | (F.col("rank") <= common))
-        .collect()
-    )
+    # Looked at three times: the classes, the words of each language, its most common words.
+    counts = written(counts, "vocabulary")
+    listed_words = counts.filter("NOT is_class")
+    totals = {r["lang"]: r["total"] for r in listed_words.groupBy("lang").agg(F.sum("n").alias("total")).collect()}
+    # A rank limit in the map tasks leaves `common` words of a language in each before they travel.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "key"))
+    ranked = listed_words.withColumn("rank", rank).filter(F.col("rank") <= common).drop("rank").collect()
+    # Only words of at least a ten-thousandth of their language.
+    top = counts.filter("is_class").collect() + [r for r in ranked if r["n"] * 10_000 >= totals[r["lang"]]]
     out = []
     for lang in sorted({r["lang"] for r in top}):
         mine = [r for r in top if r["lang"] == lang]
         listed = sorted((r["key"] % (1 << 64), r["n"]) for r in mine if not r["is_class"])
-        total = next((r["total"] for r in mine if not r["is_class"]), 0)
+        total = totals.get(lang, 0)
         if total < MIN_REFERENCE_WORDS:
             continue
         classes = np.zeros(CLASSES)
