@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import struct
 import zlib
 from collections import Counter
 from itertools import combinations
 
+import xxhash
+
 KINDS = ["email", "ip", "card", "phone"]
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -185,10 +189,45 @@ def _strength(members: list[tuple[int, int]], most: float) -> float:
     return most if between <= 0 else round(min(max(chance / between - 1, 1.0), most), 3)
 
 
-def reputation(
-    rows: list[tuple[str, int | None]], limit: float, z: float, long_suffixes: list[str], most: float
-) -> dict[str, tuple[int, int, float, str]]:
-    """{host: (n, bad, lower bound, verdict)}; a NULL outcome only names its host."""
+def beta_below(a: float, b: float, x: float) -> float:
+    """The regularised incomplete beta function, by its continued fraction."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - beta_below(b, a, 1 - x)
+    front = math.exp(
+        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    )
+    tiny = 1e-300
+    c, d = 1.0, 1 / ((1 - (a + b) * x / (a + 1)) or tiny)
+    total = d
+    for m in range(1, 2000):
+        for top in (
+            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
+        ):
+            d = 1 / ((1 + top * d) or tiny)
+            c = (1 + top / c) or tiny
+            total *= c * d
+        if abs(c * d - 1) < 1e-14:
+            break
+    return front * total / a
+
+
+def beta_quantile(a: float, b: float, p: float) -> float:
+    if a <= 0 or b <= 0:
+        return float(a > 0)
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if beta_below(a, b, mid) < p else (low, mid)
+    return low
+
+
+def host_bounds(
+    rows: list[tuple[str, int | None]], tail: float, long_suffixes: list[str], most: float
+) -> dict[str, tuple[int, int, float]]:
+    """{host: (n, bad, lower bound)}; a NULL outcome only names its host."""
 
     def above(host: str) -> tuple[str, str]:
         if re.fullmatch(r"[0-9.]+(:[0-9]+)?", host):
@@ -216,7 +255,26 @@ def reputation(
         p = mean(levels[2].get(suffix, (0, 0)), s_suffix, whole)
         p = mean(levels[1].get(domain, (0, 0)), s_domain, p)
         counts = levels[0].get(host, (0, 0))
-        p = mean(counts, s_host, p)
-        lower = max(p - z * (p * (1 - p) / (counts[0] + s_host + 1)) ** 0.5, 0.0)
-        out[host] = (*counts, lower, "block" if lower > limit else "allow")
+        n, b = counts
+        out[host] = (*counts, beta_quantile(b + s_host * p, n - b + s_host * (1 - p), tail))
     return out
+
+
+def reputation(
+    rows: list[tuple[int, str, int | None]], worth: float, tail: float, long_suffixes: list[str], most: float
+) -> dict[str, tuple[int, int, float, str]]:
+    """{host: (n, bad, lower bound, verdict)} with the limit from held-out halves."""
+    half = lambda page: xxhash.xxh64_intdigest(struct.pack("<q", page), 42) % 2
+    held: dict[int, list[int]] = {}
+    for k in (0, 1):
+        bounds = host_bounds([(h, b if half(p) == k else None) for p, h, b in rows], tail, long_suffixes, most)
+        for page, host, bad in rows:
+            if bad is not None and half(page) != k:
+                held.setdefault(math.floor(bounds[host][2] * 100), []).append(bad)
+    gains = {200: 0.0}
+    for limit in held:
+        above = [bad for step, listed in held.items() if step >= limit for bad in listed]
+        gains[limit] = sum(above) - worth * len(above)
+    limit = max(gains, key=lambda x: (gains[x], x))
+    whole = host_bounds([(h, b) for _, h, b in rows], tail, long_suffixes, most)
+    return {h: (*v, "block" if math.floor(v[2] * 100) >= limit else "allow") for h, v in whole.items()}

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from solstrand.llm import jaccard, queries, suffixes
 from solstrand.llm.packing import packed
 from solstrand.llm.urls import (
-    LIMIT,
     LONG_SUFFIXES,
     MOST_PSEUDO,
     RULES,
-    Z,
+    TAIL,
+    WORTH,
+    beta_quantile,
     judged_pages,
     label_outcomes,
     url_host,
@@ -109,8 +110,8 @@ def test_urls(spark):
 def assert_reputations(pages, outcomes):
     """Whole rows of judged_pages against the plain version; gives the hosts without labels."""
     urls, bad = [(r.page_id, r.url) for r in pages.collect()], {r.page_id: r.bad for r in outcomes.collect()}
-    rows = [(brute.host_path(u)[0], bad.get(p)) for p, u in urls]
-    want = brute.reputation(rows, LIMIT, Z, LONG_SUFFIXES, MOST_PSEUDO)
+    rows = [(p, brute.host_path(u)[0], bad.get(p)) for p, u in urls]
+    want = brute.reputation(rows, WORTH, TAIL, LONG_SUFFIXES, MOST_PSEUDO)
     got = judged_pages(pages, outcomes).collect()
     assert sorted(r.page_id for r in got) == sorted(p for p, _ in urls)
     for r in got:
@@ -121,6 +122,15 @@ def assert_reputations(pages, outcomes):
     return {h: v for h, v in want.items() if not v[0]}
 
 
+def test_beta_quantile(spark):
+    pairs = [(a, b) for a in (0.02, 0.5, 1.0, 3.7, 60.0, 2e4) for b in (0.3, 1.0, 9.0, 800.0, 1e6)]
+    df = spark.createDataFrame([*pairs, (0.0, 2.0), (2.0, 0.0)], "a double, b double")
+    for p in (0.05, 0.5):
+        for r in df.withColumn("q", beta_quantile(F.col("a"), F.col("b"), p)).collect():
+            want = brute.beta_quantile(r.a, r.b, p)
+            assert abs(r.q - want) <= (2e-2 if r.a < 0.1 else 2e-5) * want * (1 - want) + 1e-9, (r, want)
+
+
 def test_hosts_without_labels(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

@@ -169,8 +169,10 @@ def test_shares_fill_siblings_first(spark):
 
 def test_reputation_shrinks_towards_the_domain(spark):
     rows = [("a.x.com", 1)] * 50 + [("b.x.com", 1)] + [("y.org", 0)] * 50 + [("z.org", 1)]
-    seen = spark.createDataFrame(rows, "host string, bad int")
-    got = {r.host: r for r in urls.host_reputation(seen, 0.25, 1.645, []).collect()}
+    seen = spark.createDataFrame(
+        [(i, *r) for i, r in enumerate(rows)], "page_id long, host string, bad int"
+    )
+    got = {r.host: r for r in urls.host_reputation(seen, long_suffixes=[], limit=0.25).collect()}
     assert got["b.x.com"].posterior > got["z.org"].posterior
     assert got["a.x.com"].reputation == "block" and got["y.org"].reputation == "allow"
 
