@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 
@@ -154,3 +155,27 @@ def test_neighbours_of_copies_and_blocks(spark, monkeypatch):
     centres = nearest.fit_centres(df, 4)
     everywhere = nearest.index_neighbours(nearest.index(df, centres), centres, queries, 5, len(centres))
     assert {(r["query"], r["rank"], r.id, r.score) for r in everywhere.collect()} == want
+
+
+def test_neighbours_in_tiles(monkeypatch):
+    """Tiles of any size give what sorting all scores gives, equal scores by id and large entries included."""
+    rng = np.random.default_rng(6)
+    for scores, high in ((1, 3), (50, 3), (1 << 20, 1 << 30)):
+        monkeypatch.setattr(nearest, "SCORES", scores)
+        x = rng.integers(-high, high, (9000, 3))
+        ids = rng.permutation(9000)
+        mine = rng.choice(9000, 12, replace=False)
+        got_ids, got = nearest._best_of(ids, x, ids[mine], x[mine], 5)
+        for row, q in enumerate(mine):
+            want = sorted((-int(x[q] @ v), int(i)) for v, i in zip(x, ids, strict=True) if i != ids[q])[:5]
+            assert [(-int(s), int(i)) for i, s in zip(got_ids[row], got[row], strict=True)] == want
+
+
+def test_neighbours_hold_few_scores():
+    """A block of queries against a part of a list: 40 million scores, of which few are held at once."""
+    x = np.random.default_rng(7).integers(-300, 300, (20000, 8))
+    ids = np.arange(20000)
+    tracemalloc.start()
+    nearest._best_of(ids, x, ids[:2000], x[:2000], 5)
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
