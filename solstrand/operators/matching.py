@@ -1,11 +1,14 @@
 """Texts that differ by a few edits, found without comparing all with all.
 
-Two texts within k edits share all but k * q of their q-grams (copies numbered).  So among the
-k * q + 1 rarest grams of either there is one that both have, and it is enough to compare texts that
-share such a gram.  Texts too short for that are found by what is left of them when up to k
-characters are taken out: texts within k edits have such a rest in common.
+Texts up to SHORT characters, as names and descriptions of goods are, are found by what is left of them when
+up to k characters are taken out: texts within k edits have such a rest in common, and texts with a rest in
+common are within 2 * k edits, so what is compared grows with what is near, however alike all texts are.
 
-A gram that many texts have among their rarest is cut into parts, and each text is compared part by part,
+A longer text has too many rests.  Two texts within k edits share all but k * q of their q-grams (copies
+numbered).  So among the k * q + 1 rarest grams of either there is one that both have, and it is enough to
+compare texts that share such a gram.
+
+A rest or gram that many texts share is cut into parts, and each text is compared part by part,
 so no task gets all texts of a gram.
 """
 
@@ -20,6 +23,8 @@ from solstrand.sinks.scratch import written
 PART = 2000
 #: Grams in more than this part of all texts are looked up by broadcast; texts have few, so these are few.
 COMMON = 0.001
+#: The longest texts found by their rests: at two edits 1 + 48 * 49 / 2 of these.
+SHORT = 48
 
 
 def _grams(text: Column, q: int) -> Column:
@@ -32,32 +37,38 @@ def _grams(text: Column, q: int) -> Column:
     )
 
 
-def _rarest(texts: DataFrame, k: int, q: int) -> DataFrame:
-    """(text, block): the k * q + 1 rarest grams of each text that has as many.
+def _rarest(texts: DataFrame, k: int, q: int, above: int) -> DataFrame:
+    """(text, in_left, in_right, block, gone): the k * q + 1 rarest grams of each text longer than `above`.
 
     The order is by count among common grams, before which all others come: any order finds every pair.
     """
-    grams = texts.filter(F.char_length("text") - q + 1 > k * q).select("text", F.explode(_grams(F.col("text"), q)).alias("block"))
+    mine = texts.filter(F.char_length("text") > above)
+    grams = mine.select("text", "in_left", "in_right", F.explode(_grams(F.col("text"), q)).alias("block"))
     counts = grams.groupBy("block").agg(F.count("*").alias("n"))
     common = counts.filter(F.col("n") >= F.lit(COMMON * texts.count()))
-    ranked = grams.join(F.broadcast(common), "block", "left").groupBy("text").agg(
+    ranked = grams.join(F.broadcast(common), "block", "left").groupBy("text", "in_left", "in_right").agg(
         F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "block"))).alias("grams")
     )
-    return ranked.select("text", F.explode(F.slice("grams", 1, k * q + 1)).alias("gram")).select("text", "gram.block")
+    chosen = ranked.withColumn("gram", F.explode(F.slice("grams", 1, k * q + 1)))
+    return chosen.select("text", "in_left", "in_right", F.xxhash64(F.lit("gram"), "gram.block").alias("block"), F.lit(0).alias("gone"))
 
 
-def _rests(texts: DataFrame, k: int, q: int) -> DataFrame:
-    """(text, block): what is left of texts that may be near a short one without up to k characters."""
-    rests = texts.filter(F.char_length("text") <= k * (q + 1) + q - 1).select("text", F.col("text").alias("block"))
+def _rests(texts: DataFrame, k: int, upto: int) -> DataFrame:
+    """(text, in_left, in_right, block, gone): what is left of texts of up to `upto` characters without `gone` of them, up to k."""
+    own = ["text", "in_left", "in_right"]
+    mine = texts.filter(F.char_length("text") <= upto)
+    rests = mine.select(*own, F.col("text").alias("rest"), F.lit(1).alias("at"), F.lit(0).alias("gone"))
     every = rests
-    for _ in range(k):
-        at = F.sequence(F.lit(1), F.greatest(F.char_length("block"), F.lit(1)))
-        without = F.explode(
-            F.transform(at, lambda i: F.concat(F.substring(F.col("block"), F.lit(1), i - 1), F.substring(F.col("block"), i + 1, F.char_length("block"))))
-        )
-        rests = rests.select("text", without.alias("block")).distinct()
+    for gone in range(1, k + 1):
+        # The next one taken is not before the last; of equal neighbours the first.
+        places = F.explode(F.sequence("at", F.char_length("rest")))
+        taken = rests.filter(F.char_length("rest") >= F.col("at")).select(*own, "rest", F.col("at").alias("from"), places.alias("at"))
+        letter = lambda i: F.substring(F.col("rest"), i, F.lit(1))
+        taken = taken.filter((F.col("at") == F.col("from")) | (letter(F.col("at")) != letter(F.col("at") - 1)))
+        without = F.concat(F.substring(F.col("rest"), F.lit(1), F.col("at") - 1), F.substring(F.col("rest"), F.col("at") + 1, F.char_length("rest")))
+        rests = taken.select(*own, without.alias("rest"), "at", F.lit(gone).alias("gone"))
         every = every.unionByName(rests)
-    return every.distinct().select("text", F.concat(F.lit("\u0002"), "block").alias("block"))
+    return every.select(*own, F.xxhash64(F.lit("rest"), "rest").alias("block"), "gone")
 
 
 def near_texts(left: DataFrame, right: DataFrame, edits: int = 2, q: int = 2) -> DataFrame:
@@ -71,15 +82,26 @@ def near_texts(left: DataFrame, right: DataFrame, edits: int = 2, q: int = 2) ->
         sides.filter("text IS NOT NULL").groupBy("text").agg(F.max("is_left").alias("in_left"), F.max(~F.col("is_left")).alias("in_right")),
         "texts",
     )
-    blocks = written(_rarest(texts, edits, q).unionByName(_rests(texts, edits, q)).join(texts, "text"), "blocks")
-    sizes = blocks.groupBy("block").agg(F.sum(F.col("in_right").cast("int")).alias("n"))
-    parts = written(sizes.filter(F.col("n") > 0).select("block", F.ceil(F.col("n") / PART).alias("parts")), "parts")
-    placed = blocks.join(parts, "block")
-    lefts = placed.filter("in_left").select(F.col("text").alias("left_text"), "block", F.explode(F.sequence(F.lit(1), F.col("parts"))).alias("part"))
+    # A text makes a thousand rows: even a small table of texts is dealt out to all tasks.
+    texts = texts.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text")
+    # Texts from `short` on have enough grams; of two within `edits` edits both are in the one or both in the other.
+    short = max(SHORT if edits <= 2 else 0, edits * (q + 1) - 1, edits * q + q - 1)
+    blocks = _rests(texts, edits, short + edits).unionByName(_rarest(texts, edits, q, short))
+    # Only blocks of more than a part are placed: few, as a text has a bounded number of blocks.
+    sizes = blocks.filter("in_right").groupBy("block").agg(F.count("*").alias("n"))
+    parts = written(sizes.filter(F.col("n") > PART).select("block", F.ceil(F.col("n") / PART).alias("parts")), "parts")
+    placed = blocks.join(F.broadcast(parts), "block", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("bigint")))
+    lefts = placed.filter("in_left").select(
+        F.col("text").alias("left_text"), "block", F.col("gone").alias("left_gone"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("parts"))).alias("part")
+    )
     rights = placed.filter("in_right").select(
-        F.col("text").alias("right_text"), "block", (F.pmod(F.xxhash64("text"), F.col("parts")) + 1).alias("part")
+        F.col("text").alias("right_text"), "block", F.col("gone").alias("right_gone"), (F.pmod(F.xxhash64("text"), F.col("parts")) + 1).alias("part")
     )
+    # Without more taken out than they have edits between them, all pairs are found, and most of them once.
     apart = F.abs(F.char_length("left_text") - F.char_length("right_text")) <= edits
     distance = F.levenshtein("left_text", "right_text", edits)
-    pairs = lefts.join(rights, ["block", "part"]).filter(apart).select("left_text", "right_text", distance.alias("distance"))
-    return pairs.filter("distance >= 0").distinct()
+    # Sorted, as a table of rests is far larger than that of the texts it is made of.
+    pairs = lefts.join(rights.hint("merge"), ["block", "part"]).filter(apart)
+    pairs = pairs.withColumn("distance", distance).filter(F.col("distance") >= F.greatest("left_gone", "right_gone"))
+    # By the left text, so that what is counted for each need not travel again.
+    return pairs.select("left_text", "right_text", "distance").repartition("left_text").distinct()

@@ -179,3 +179,26 @@ def test_neighbours_hold_few_scores():
     nearest._best_of(ids, x, ids[:2000], x[:2000], 5)
     assert tracemalloc.get_traced_memory()[1] < 100e6
     tracemalloc.stop()
+
+
+def test_near_texts_at_the_longest_found_by_rests(spark, monkeypatch):
+    """Goods named alike, by rests, by grams, and with the border between the two among them."""
+    rng = random.Random(11)
+    names = [f"{a} ring Brand#{b} {c}" for a in ("hot", "old", "new") for b in range(8, 13) for c in (1, 7, 12)]
+    offers = [n[:i] + rng.choice(["", "x", "yy"]) + n[i + rng.randint(0, 1) :] for n in names for i in [rng.randrange(len(n))]]
+    frame = lambda rows: spark.createDataFrame([(t,) for t in rows], "text string")
+    want = {(a, b, edits(a, b)) for a in offers for b in names if edits(a, b) <= 2}
+    for short in (0, 19, 48):
+        monkeypatch.setattr(matching, "SHORT", short)
+        found = [tuple(r) for r in matching.near_texts(frame(offers), frame(names)).collect()]
+        assert set(found) == want and len(found) == len(want)
+
+
+def test_rests_compare_what_is_near(spark):
+    """Texts of one pattern share their rarest grams with a tenth of all, and a rest only with near ones."""
+    names = [f"{a} ring Brand#{b:02} {c:02}" for a in ("hot", "old", "new") for b in range(10, 30) for c in range(10, 30)]
+    texts = spark.createDataFrame([(t, True, True) for t in names], "text string, in_left boolean, in_right boolean")
+    blocks = matching._rests(texts, 2, 48).select("text", "block").distinct()
+    met = blocks.join(blocks.withColumnRenamed("text", "other"), "block").select("text", "other").distinct().count()
+    near = sum(sum(x != y for x, y in zip(a.split()[2:], b.split()[2:], strict=True)) < 2 or edits(a, b) <= 4 for a, b in combinations(names[:400], 2))
+    assert met <= len(names) + 2 * 3 * near
