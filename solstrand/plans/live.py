@@ -20,6 +20,8 @@ DELAY = "2 days"
 OPENING, REORDER_AT, PATIENCE = 2000, 500, 30
 # Days that make a batch of arrivals, where every batch is a run, and where it is a file of one run.
 RUN_DAYS, FILE_DAYS = 10, 4
+# Rows of a file, where a batch may land as many files.
+FILE_ROWS = 500_000
 # How many days an event is on its way.
 ON_THE_WAY = "CASE WHEN event_id % 7 = 3 THEN 12 WHEN event_id % 11 = 5 THEN 1 ELSE 0 END"
 MOVED = "CAST(CASE WHEN l_returnflag = 'R' THEN 2 * l_quantity ELSE -l_quantity END AS BIGINT)"
@@ -35,6 +37,12 @@ def _arrivals(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
     return events.unionByName(events.filter("event_id % 13 = 0")).withColumn("batch", batch)
 
 
+def _staged(rows: DataFrame, root: str) -> DataFrame:
+    """The rows written once by batch: a batch that lands reads its own."""
+    rows.write.partitionBy("batch").parquet(f"{root}/staged")
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/staged")
+
+
 def _land(rows: DataFrame, batch: int, folder: str, files: int) -> None:
     rows.filter(F.col("batch") == batch).drop("batch").repartition(files).write.mode("append").parquet(folder)
 
@@ -44,10 +52,11 @@ def _batches(rows: DataFrame) -> list[int]:
 
 
 def _in_runs(rows: DataFrame, root: str, run: Callable[[DataFrame], StreamingQuery]) -> list[StreamingQuery]:
-    """Each batch lands as three files, then the stream is started, runs to its end and stops."""
-    done = []
+    """Each batch lands as three files or more, then the stream is started, runs to its end and stops."""
+    rows, done = _staged(rows, root), []
     for batch in _batches(rows):
-        _land(rows, batch, f"{root}/in", 3)
+        n = rows.filter(F.col("batch") == batch).count()
+        _land(rows, batch, f"{root}/in", max(3, -(-n // FILE_ROWS)))
         query = run(file_stream(rows.sparkSession, f"{root}/in", rows.drop("batch").schema))
         query.awaitTermination()
         done.append(query)
@@ -81,7 +90,7 @@ def user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rate_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run over files taken one at a time, then a second run, which finds nothing new."""
     root = scratch_path(spark, "rate-capped")
-    rows = _arrivals(spark, sf_dir, FILE_DAYS)
+    rows = _staged(_arrivals(spark, sf_dir, FILE_DAYS), root)
     for batch in _batches(rows):
         _land(rows, batch, f"{root}/in", 1)
     stream = file_stream(spark, f"{root}/in", rows.drop("batch").schema, files_per_trigger=1)

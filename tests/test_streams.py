@@ -157,3 +157,20 @@ def test_a_table_as_a_stream(spark, tmp_path):
 
 def test_scratch_folders_are_never_shared(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_large_batches_land_as_more_files(spark, tmp_path, monkeypatch):
+    """A batch of many rows lands as files of FILE_ROWS, each row once; a small one as three files."""
+    from solstrand.plans import live
+
+    monkeypatch.setattr(live, "FILE_ROWS", 10)
+    rows = spark.createDataFrame([(i, int(i >= 95)) for i in range(100)], "n int, batch int").repartition(4)
+    landed = []
+
+    class Ended:
+        def awaitTermination(self):
+            landed.append(len(list((tmp_path / "in").glob("*.parquet"))))
+
+    live._in_runs(rows, str(tmp_path), lambda stream: Ended())
+    assert landed == [10, 13]
+    assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "in")).collect()) == list(range(100))
