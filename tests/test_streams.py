@@ -174,3 +174,12 @@ def test_large_batches_land_as_more_files(spark, tmp_path, monkeypatch):
     live._in_runs(rows, str(tmp_path), lambda stream: Ended())
     assert landed == [10, 13]
     assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "in")).collect()) == list(range(100))
+
+
+def test_stream_tables_are_zstd(spark, tmp_path):
+    from solstrand.sources.messages import file_stream
+    from solstrand.streaming.hops import append
+
+    spark.range(9).write.parquet(str(tmp_path / "in"))
+    append(file_stream(spark, str(tmp_path / "in"), "id long"), str(tmp_path / "out"), str(tmp_path / "done")).awaitTermination()
+    assert list((tmp_path / "out").glob("*.zstd.parquet")) and spark.read.parquet(str(tmp_path / "out")).count() == 9
