@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +39,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def bucketed(df: DataFrame, label: str, key: str, buckets: int) -> Iterator[DataFrame]:
+    """The distinct rows of `df`, written out once in buckets of `key`: joins on `key` do not exchange them again.
+
+    Each bucket is written by one task; equal rows meet there.  The catalog forgets the table at the end of the `with` block; the
+    files stay with the others of the scratch folder.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    name = f"spark_catalog.default.{path.rsplit('/', 1)[-1].replace('-', '_')}"
+    df.repartition(buckets, key).distinct().write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")

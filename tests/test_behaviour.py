@@ -125,6 +125,47 @@ def test_walks_end_in_cycles_and_at_the_limit(spark):
     assert roots == {"a": "a", "b": "a", "c": "a", "d": "a", "x": "a", "y": "y", "z": "y"}
 
 
+def test_edges_are_exchanged_once_and_a_crowded_source_is_spread(spark, monkeypatch):
+    """Rounds leave the edges in their buckets; the hub's are in none, whatever its share of all edges."""
+    from solstrand.operators import graphs as module
+
+    rng = random.Random(5)
+    pairs = [("hub", f"n{i}") for i in range(300)] + [(f"n{rng.randrange(400)}", f"n{rng.randrange(400)}") for _ in range(200)]
+    pairs += [("start", "hub"), ("n1", "hub"), (None, "n2"), ("n3", None)]
+    edges = spark.createDataFrame(pairs * 2, "src string, dst string")
+    want, front = {"start": (0, None)}, {"start"}
+    for hops in range(1, 5):
+        near = {d: min(s for s, e in pairs if e == d and s in front) for s, d in pairs if s in front and d and d not in want}
+        want |= {d: (hops, via) for d, via in near.items()}
+        front = set(near)
+    plans, largest = [], []
+
+    def written(df, label, keep=module.written):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label)
+
+    def bucketed(df, *how, keep=module.bucketed):
+        largest.append(df.groupBy("src").count().agg(F.max("count")).first()[0])
+        return keep(df, *how)
+
+    monkeypatch.setattr(module, "written", written)
+    monkeypatch.setattr(module, "bucketed", bucketed)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for crowded in (256, 8):
+            monkeypatch.setattr(module, "CROWDED", crowded)
+            got = reached(edges, spark.createDataFrame([("start",)], "node string"), 4).collect()
+            assert {r.node: (r.hops, r.via) for r in got} == want and len(got) == len(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    rounds = [p for p in plans if "LeftAnti" in p]
+    assert len(rounds) >= 6 and not any("hashpartitioning(src" in p for p in rounds)
+    assert largest and max(largest) * 8 <= 2 * len(pairs)
+    assert reached(edges.limit(0), spark.createDataFrame([("start",)], "node string")).collect() == [("start", 0, None)]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("edges_")]
+
+
 def test_long_chains_are_one_component(spark):
     order = list(range(300))
     random.Random(1).shuffle(order)
