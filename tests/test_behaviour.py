@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import math
 import random
@@ -62,6 +63,20 @@ def test_asof_equals_all_pairs(spark, exact, later):
         assert len(got) == len(left)
 
 
+def test_a_row_is_not_compared_with_every_cut(spark):
+    """Cuts are found by halves, at their edges too, without a function called for each cut."""
+    from solstrand.operators.asof import _cut_of
+
+    rng = random.Random(6)
+    for n in (0, 1, 2, 63):
+        minutes = sorted(rng.sample(range(100), n))
+        times = [None, *range(-1, 101)]
+        rows = spark.createDataFrame([(m, at(m)) for m in times], "m int, t timestamp_ntz")
+        placed = rows.select("m", _cut_of(F.col("t"), [at(m) for m in minutes]).alias("cut"))
+        assert {r.m: r.cut for r in placed.collect()} == {m: -1 if m is None else bisect.bisect_left(minutes, m) for m in times}
+        assert "lambda" not in placed._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_asof_with_several_tables_and_empty_ones(spark):
     left = spark.createDataFrame([(1, at(5)), (2, at(5))], "k int, t timestamp_ntz")
     one = spark.createDataFrame([(1, at(4), "a"), (1, at(6), "b")], "k int, u timestamp_ntz, v string")
