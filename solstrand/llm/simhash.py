@@ -197,7 +197,8 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
             .agg(F.collect_list("fp").alias("entries")),
             "calm",
         )
-        met = questions.join(calm, at).select("fp", "entries")
+        # The planner takes the exploded questions for as small as the fingerprints, and would broadcast them.
+        met = questions.join(calm.hint("merge"), at).select("fp", "entries")
         found = written(met.mapInArrow(_verified, "a long, b long"), "near")
         links = links.unionByName(found) if links else found
         if crowded.limit(1).count() == 0:

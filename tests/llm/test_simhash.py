@@ -126,3 +126,18 @@ def test_links_of_crowded_values(spark, monkeypatch):
         assert to == want
         # A forest for each batch: far fewer edges than pairs.
         assert len(edges) < 3 * len(fps)
+
+
+def test_questions_are_not_broadcast(spark, monkeypatch):
+    """However small the fingerprints, the questions made of them are many times as many."""
+    plans, kept = [], simhash.written
+
+    def seen(df, label):
+        if label == "near":
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return kept(df, label)
+
+    monkeypatch.setattr(simhash, "written", seen)
+    rows = kept(spark.createDataFrame([(signed(f),) for f in near_numbers()[:200]], "fp long"), "fps")
+    simhash.fingerprint_links(rows)
+    assert plans and all("SortMergeJoin" in p and "BroadcastHashJoin" not in p for p in plans)
