@@ -92,8 +92,9 @@ def article_messages(documents: DataFrame, labels: DataFrame, topics: str = "obj
     second = message(1, again, F.when(toxic, F.lit(None)).otherwise(F.lit("articles")))
     sent = F.when(F.col("toxic").isNull(), F.array(first)).otherwise(F.array(first, second))
     return (
-        documents.withColumn("article", article)
-        .join(labels, "doc_id", "left")
+        # Made behind the join: if that exchanges its sides, the text travels once, not in five places.
+        documents.join(labels, "doc_id", "left")
+        .withColumn("article", article)
         .select("doc_id", F.explode(sent).alias("m"))
         .select(
             F.col("doc_id").cast("string").cast("binary").alias("key"),

@@ -17,6 +17,9 @@ from solstrand.sources.tables import table
 from solstrand.streaming.dedup import first_seen
 from solstrand.streaming.hops import ArticleStream, append
 
+#: Stored bytes of one batch of a hop: it shuffles about twice as much, whatever the tables' size.
+BATCH_BYTES = 1 << 28
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream; watermarks need a TIMESTAMP with zone."""
@@ -57,7 +60,11 @@ def _article_stream(spark: SparkSession, sf_dir: str, upto: str) -> DataFrame:
     )
     # Copies are a day apart and messages come in no order of time: the delay spans them all.
     hops = ArticleStream(
-        scratch_path(spark, "articles"), article_scorer(), survey_scorer, delay="3650 days"
+        scratch_path(spark, "articles"),
+        article_scorer(),
+        survey_scorer,
+        bytes_per_trigger=BATCH_BYTES,
+        delay="3650 days",
     )
     hops.run(messages, upto)
     return hops.read(spark, upto)

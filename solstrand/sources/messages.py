@@ -47,15 +47,22 @@ def kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: str | StructType = MESSAGE, files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType = MESSAGE,
+    files_per_trigger: int | None = None,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Parquet files as a stream, by default with the columns of a Kafka source.
 
-    `files_per_trigger` caps the rate as `maxOffsetsPerTrigger` does for a topic.
+    `files_per_trigger` caps the rate as `maxOffsetsPerTrigger` does for a topic; `bytes_per_trigger`
+    does so by the files' bytes.  The source takes one of the two.
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.parquet(path)
 
 

@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import datetime
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from solstrand.operators import articles
-from solstrand.plans.messages import article_scorer, survey_scorer
+from solstrand.plans.messages import article_messages, article_scorer, survey_scorer
 from solstrand.sinks.scratch import scratch_path
 from solstrand.sources.messages import file_stream, table_stream
 from solstrand.streaming.dedup import first_seen
@@ -183,3 +184,41 @@ def test_stream_tables_are_zstd(spark, tmp_path):
     spark.range(9).write.parquet(str(tmp_path / "in"))
     append(file_stream(spark, str(tmp_path / "in"), "id long"), str(tmp_path / "out"), str(tmp_path / "done")).awaitTermination()
     assert list((tmp_path / "out").glob("*.zstd.parquet")) and spark.read.parquet(str(tmp_path / "out")).count() == 9
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_a_batch_leaves_nothing_of_its_shuffles(spark, land, tmp_path):
+    folder, out = land(str(tmp_path / "in"), MIXED, HOT), str(tmp_path / "out")
+    before = shuffle_files(spark)
+    stream = articles.flatten_articles(articles.parse_messages(file_stream(spark, folder, files_per_trigger=1)))
+    query = append(first_seen(stream, salts=4), f"{out}/rows", f"{out}/c")
+    query.awaitTermination()
+    assert sum(p.numInputRows for p in query.recentProgress) == len(MIXED) + len(HOT)
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+
+
+def test_hops_in_batches_of_bytes(spark, land, tmp_path):
+    """The table of a hop is worked off in many batches and gives the rows of one."""
+    folder = land(str(tmp_path / "in"), *[[message(i, article(i)), message(i + 1, article(i % 3))] for i in range(5)])
+    run = ArticleStream(str(tmp_path / "t"), article_scorer(), survey_scorer, bytes_per_trigger=1, salts=4)
+    ended = run.run(file_stream(spark, folder), upto="silver")
+    files = len(list((tmp_path / "t/bronze").glob("*/*.parquet")))
+    assert sum(p.numInputRows > 0 for p in ended["silver"].recentProgress) == files > 1
+    assert sorted(r.id for r in run.read(spark, "silver").collect()) == list(range(5))
+
+
+def test_articles_are_made_behind_the_join_with_labels(spark):
+    """An exchange for the join carries the text once, not the article beside it."""
+    documents = spark.createDataFrame([(1, "a\nb", "en", "s", 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    plan = article_messages(documents, labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS article#" in plan and "AS article#" not in plan[plan.index("Join ") :]
