@@ -42,18 +42,27 @@ FILTER_BITS = 24
 _U = np.uint64
 
 
-def _sets(batch: pa.RecordBatch, k: int) -> Iterator[np.ndarray]:
+def _sets(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of all rows, distinct and in order within each, and the rows' boundaries."""
     raw, bounds = buffers(batch.column("text"))
     found = words(raw, bounds, lower=True)
     return text_sets(found.code, found.first, k)
 
 
-def set_name(shingles: np.ndarray) -> int:
-    """63-bit name of a set, whatever its order; 0 for the empty set."""
-    if not len(shingles):
-        return 0
-    total = mixed(shingles ^ _U(0xA0761D6478BD642F)).sum(dtype=_U) + _U(len(shingles))
-    return int(mixed(np.array([total], _U))[0] >> _U(1)) or 1
+def set_names(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """63-bit name of each set, whatever its order; 0 for the empty set."""
+    sizes = np.diff(bounds)
+    out, some = np.zeros(len(sizes), np.int64), np.flatnonzero(sizes)
+    if len(some):
+        total = np.add.reduceat(mixed(shingles ^ _U(0xA0761D6478BD642F)), bounds[some])
+        out[some] = np.maximum(mixed(total + sizes[some].astype(_U)) >> _U(1), _U(1)).view(np.int64)
+    return out
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray, missing: np.ndarray) -> pa.Array:
+    """Lists of the given sizes, one after the other in `values`; NULL where `missing`."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)), mask=pa.array(missing))
 
 
 def prefix_length(n: int, num: int, den: int) -> int:
@@ -65,9 +74,8 @@ def _heavy(k: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            all_sets = list(_sets(batch, k))
-            tokens, n = np.unique(np.concatenate(all_sets), return_counts=True) if all_sets else ([], [])
-            often = np.asarray(n) >= 3
+            tokens, n = np.unique(_sets(batch, k)[0], return_counts=True)
+            often = n >= 3
             if often.any():
                 yield pa.RecordBatch.from_pydict(
                     {"token": pa.array(tokens[often].view(np.int64)), "n": pa.array(n[often].astype(np.int64))}
@@ -93,7 +101,7 @@ def held_back(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _described(k: int, num: int, den: int, last: np.ndarray) -> Callable:
-    """Per document its id, set name and size; bitmap and prefix with the first copy in a task.
+    """Per document its id, text hash, set name and size; bitmap and prefix with the first copy in a task.
 
     The prefix comes in two parts: its shingles that are held back are `common`.
     """
@@ -101,58 +109,73 @@ def _described(k: int, num: int, den: int, last: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in slices(batches, "text"):
-            names, sizes, bits, prefixes, common = [], [], [], [], []
-            for elements in _sets(batch, k):
-                name = set_name(elements)
-                names.append(name)
-                sizes.append(len(elements))
-                if name in seen or not len(elements):
-                    bits.append(None)
-                    prefixes.append(None)
-                    common.append(None)
-                    continue
+            shingles, bounds = _sets(batch, k)
+            names, sizes = set_names(shingles, bounds), np.diff(bounds)
+            new = np.zeros(len(names), bool)
+            for i, name in enumerate(names.tolist()):
+                new[i] = name != 0 and name not in seen
                 seen.add(name)
-                bits.append(signature(elements).tobytes())
-                want = prefix_length(len(elements), num, den)
-                late = np.zeros(len(elements), bool)
-                if len(last):
-                    late = last[np.minimum(np.searchsorted(last, elements), len(last) - 1)] == elements
-                prefixes.append(elements[~late][:want].view(np.int64))
-                common.append(elements[late][: want - len(prefixes[-1])].view(np.int64))
+            elements, n = shingles[np.repeat(new, sizes)], sizes[new]
+            row, starts = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
+            late = np.zeros(len(elements), bool)
+            if len(last):
+                late = last[np.minimum(np.searchsorted(last, elements), len(last) - 1)] == elements
+            want = prefix_length(n, num, den)
+            n_late = np.bincount(row[late], minlength=len(n))
+            n_prefix = np.minimum(n - n_late, want)
+            n_common = np.minimum(n_late, want - n_prefix)
+            before = np.cumsum(late) - late  # held-back shingles of this and earlier rows
+            place = before - (np.cumsum(n_late) - n_late)[row]
+            common = late & (place < n_common[row])
+            prefix = ~late & (np.arange(len(elements)) - starts[row] - place < n_prefix[row])
+            per_row = np.zeros((2, len(names)), np.int64)
+            per_row[:, new] = n_prefix, n_common
+            bits = np.full(len(names), None, object)
+            bits[new] = [signature(elements[a : a + m]).tobytes() for a, m in zip(starts, n, strict=True)]
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": batch.column("id").cast(pa.int64()),
-                    "set_id": pa.array(names, pa.int64()),
-                    "n": pa.array(sizes, pa.int64()),
+                    "h": batch.column("h"),
+                    "set_id": pa.array(names),
+                    "n": pa.array(sizes.astype(np.int64)),
                     "bits": pa.array(bits, pa.binary()),
-                    "prefix": pa.array(prefixes, pa.list_(pa.int64())),
-                    "common": pa.array(common, pa.list_(pa.int64())),
+                    "prefix": _lists(elements[prefix], per_row[0], ~new),
+                    "common": _lists(elements[common], per_row[1], ~new),
                 }
             )
 
     return run
 
 
-def _wanted(k: int, flags: np.ndarray) -> Callable:
-    """(set_id, shingles) of sets whose name passes the filter, once per task."""
+def _flagged(values: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    at = values & ((1 << FILTER_BITS) - 1)
+    return (flags[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _wanted(k: int, texts: np.ndarray, flags: np.ndarray) -> Callable:
+    """(set_id, shingles) of sets whose text's hash and name pass the filters, once per task.
+
+    Only texts whose hash passes are cut into shingles again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
-        for batch in slices(batches, "text"):
-            names, found = [], []
-            for elements in _sets(batch, k):
-                name = set_name(elements)
-                at = name & ((1 << FILTER_BITS) - 1)
-                if name not in done and flags[at >> 3] >> (at & 7) & 1:
-                    done.add(name)
-                    names.append(name)
-                    found.append(elements)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "set_id": pa.array(names, pa.int64()),
-                    "shingles": pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
-                }
-            )
+        for whole in batches:
+            asked = whole.filter(pa.array(_flagged(whole.column("h").to_numpy(), texts)))
+            for batch in slices(iter([asked]), "text"):
+                shingles, bounds = _sets(batch, k)
+                names, sizes = set_names(shingles, bounds), np.diff(bounds)
+                new = _flagged(names, flags)
+                for i in np.flatnonzero(new).tolist():
+                    new[i] = names[i] not in done
+                    done.add(names[i])
+                kept = shingles[np.repeat(new, sizes)]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "set_id": pa.array(names[new]),
+                        "shingles": _lists(kept, sizes[new], np.zeros(int(new.sum()), bool)),
+                    }
+                )
 
     return run
 
@@ -197,11 +220,19 @@ def _run_pairs(num: int, den: int, last: bool) -> Callable:
     return work
 
 
-def _exact_links(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs whose sets are similar; only sets of the pairs are made again and exchanged."""
+def _hashed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("h", F.xxhash64("text"))
+
+
+def _exact_links(docs: DataFrame, texts: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The pairs whose sets are similar; only sets of the pairs are made again and exchanged.
+
+    `texts` has the hash `h` of a text of each set.
+    """
     wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    flags = hash_flags(wanted, "set_id", FILTER_BITS)
-    sets = docs.select("text").mapInArrow(_wanted(k, flags), "set_id long, shingles array<long>")
+    wanted = written(wanted.join(texts, "set_id"), "asked")
+    flags = [hash_flags(wanted, c, FILTER_BITS) for c in ("h", "set_id")]
+    sets = _hashed(docs).select("text", "h").mapInArrow(_wanted(k, *flags), "set_id long, shingles array<long>")
     sets = written(sets.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]), "wanted")
     left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
@@ -245,6 +276,35 @@ def _parts(members: DataFrame, num: int, den: int, paired: bool) -> DataFrame:
     return placed.filter("low <> high").select("run", F.explode(part).alias("part"), "set_id", "grp")
 
 
+def _sharers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(run, set_id): of rows in order of token and set, the sets of tokens that several sets have.
+
+    A token's run is its least set.  What is known of the last token goes on into the next batch.
+    """
+    last, held = None, []  # the last token, its least and its last set
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        token, sets = batch.column("token").to_numpy(), batch.column("set_id").to_numpy()
+        if last == token[0]:
+            token, sets = np.concatenate([[last, last], token]), np.concatenate([held, sets])
+        first = np.ones(len(token), bool)
+        first[1:] = token[1:] != token[:-1]
+        starts = np.flatnonzero(first)
+        sizes = np.diff(np.append(starts, len(token)))
+        run = np.repeat(sets[starts], sizes)
+        other = sets != run
+        own = first & np.repeat(np.logical_or.reduceat(other, starts), sizes)
+        other[1:] &= sets[1:] != sets[:-1]
+        yield pa.RecordBatch.from_pydict(
+            {
+                "run": pa.array(np.concatenate([run[own], run[other]])),
+                "set_id": pa.array(np.concatenate([run[own], sets[other]])),
+            }
+        )
+        last, held = token[-1], [run[-1], sets[-1]]
+
+
 def _named_runs(first_copies: DataFrame) -> DataFrame:
     """(run, set_id): the sets that share a prefix shingle, named by the least of them.
 
@@ -254,19 +314,10 @@ def _named_runs(first_copies: DataFrame) -> DataFrame:
     shingle never meet in one.
     """
     tokens = first_copies.select("set_id", F.explode("prefix").alias("token"))
-    by_token = Window.partitionBy("token")
-    in_order = by_token.orderBy("set_id")
     rare = (
-        tokens.withColumns(
-            {
-                "low": F.lag("set_id").over(in_order),
-                "high": F.lead("set_id").over(in_order),
-                "run": F.min("set_id").over(by_token),
-            }
-        )
-        # Of the copies of a row one borders on another set, if there is one.
-        .filter("low <> set_id OR high <> set_id")
-        .select("run", "set_id")
+        tokens.repartition("token")
+        .sortWithinPartitions("token", "set_id")
+        .mapInArrow(_sharers, "run long, set_id long")
     )
     often = first_copies.select("set_id", F.explode("common").alias("token"))
     least = often.groupBy("token").agg(F.min("set_id").alias("run"), F.max("set_id").alias("most"))
@@ -281,14 +332,14 @@ def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DE
     """
     last = held_back(docs, k)
     members = written(
-        docs.select("id", "text").mapInArrow(
+        _hashed(docs.select("id", "text")).mapInArrow(
             _described(k, num, den, last),
-            "id long, set_id long, n long, bits binary, prefix array<long>, common array<long>",
+            "id long, h long, set_id long, n long, bits binary, prefix array<long>, common array<long>",
         ),
         "sets",
     )
     first_copies = members.filter("prefix IS NOT NULL")
-    described = first_copies.select("set_id", "n", "bits")
+    described = first_copies.select("set_id", "h", "n", "bits")
     named = _named_runs(first_copies)
     # Sizes join the few rows that are left here; they do not travel with every shingle.
     named = named.join(described.groupBy("set_id").agg(F.first("n").alias("n")), "set_id")
@@ -320,7 +371,7 @@ def linked_sets(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DE
         tested = tested.union(pairs) if tested else pairs
         if pairs.limit(1).count() == 0:
             continue
-        links = _exact_links(docs, pairs, k, num, den)
+        links = _exact_links(docs, bitmaps.select("set_id", "h"), pairs, k, num, den)
         if links.limit(1).count() == 0:
             continue
         of = lambda c: groups.select(F.col("set_id").alias(c), F.col("grp").alias(f"g{c}"))
